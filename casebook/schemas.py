@@ -5,62 +5,89 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
-def _struct(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
-
-
-PROJECTS = _struct(
-    "project_id string, scoro_id string, project_no string, project_name string, status string,"
-    " status_name string, project_manager string, project_manager_name string, project_members string,"
-    " start_date date, due_date date, completed_date string, description string, client_company string,"
-    " client_contacts string, project_type string, client_country string, business_area string,"
-    " business_line_division string, budget_type string, po_number string, open_po_number string,"
-    " related_project string, google_drive_link string, project_priority string, tags string,"
-    " imported_at timestamp"
+def _fields(data_type: T.DataType, names: str) -> list[T.StructField]:
+    return [T.StructField(name, data_type) for name in names.split()]
+
+
+TEXT, LONG, INT = T.StringType(), T.LongType(), T.IntegerType()
+MOMENT, DAY, DOUBLE, FLAG = T.TimestampType(), T.DateType(), T.DoubleType(), T.BooleanType()
+
+PROJECTS = T.StructType(
+    _fields(
+        TEXT,
+        "project_id scoro_id project_no project_name status status_name project_manager"
+        " project_manager_name project_members",
+    )
+    + _fields(DAY, "start_date due_date")
+    + _fields(
+        TEXT,
+        "completed_date description client_company client_contacts project_type client_country"
+        " business_area business_line_division budget_type po_number open_po_number"
+        " related_project google_drive_link project_priority tags",
+    )
+    + _fields(MOMENT, "imported_at")
 )
 
-DOCUMENTS = _struct(
-    "document_id string, source_system string, source_type string, title string, folder_path string,"
-    " url string, source_url string, author string, created_at timestamp, modified_at timestamp,"
-    " text_preview string, full_text string, imported_at timestamp"
+DOCUMENTS = T.StructType(
+    _fields(TEXT, "document_id source_system source_type title folder_path url source_url author")
+    + _fields(MOMENT, "created_at modified_at")
+    + _fields(TEXT, "text_preview full_text")
+    + _fields(MOMENT, "imported_at")
 )
 
-CANDIDATES = _struct(
-    "project_id string, document_id string, discovery_query string, rank bigint, title string,"
-    " url string, source_url string, text_preview string, discovered_at timestamp, run_id string"
+CANDIDATES = T.StructType(
+    _fields(TEXT, "project_id document_id discovery_query")
+    + _fields(LONG, "rank")
+    + _fields(TEXT, "title url source_url text_preview")
+    + _fields(MOMENT, "discovered_at")
+    + _fields(TEXT, "run_id")
 )
 
-DOCUMENT_MAP = _struct(
-    "project_id string, document_id string, confidence_score double, matching_method string,"
-    " classifier_reason string, classified_at timestamp, run_id string"
+DOCUMENT_MAP = T.StructType(
+    _fields(TEXT, "project_id document_id")
+    + _fields(DOUBLE, "confidence_score")
+    + _fields(TEXT, "matching_method classifier_reason")
+    + _fields(MOMENT, "classified_at")
+    + _fields(TEXT, "run_id")
 )
 
-RUNS = _struct(
-    "run_id string, job_name string, started_at timestamp, finished_at timestamp, status string,"
-    " records_read bigint, records_written bigint, error_message string"
+RUNS = T.StructType(
+    _fields(TEXT, "run_id job_name")
+    + _fields(MOMENT, "started_at finished_at")
+    + _fields(TEXT, "status")
+    + _fields(LONG, "records_read records_written")
+    + _fields(TEXT, "error_message")
 )
 
-PAGES = _struct(
-    "project_id string, project_name string, project_no string, client_company string,"
-    " client_contacts string, project_manager string, project_members string, status_name string,"
-    " tags string, business_area string, client_country string, google_drive_link string,"
-    " generated_at timestamp, source_document_ids array<string>,"
-    " source_documents array<struct<index:int,title:string,document_id:string,type:string,url:string>>,"
-    " markdown string, wiki_status string, generated_by_model string, markdown_chunked boolean,"
-    " markdown_chunk_count int, markdown_total_bytes bigint"
+SOURCE_ENTRY = T.StructType(_fields(INT, "index") + _fields(TEXT, "title document_id type url"))
+
+PAGES = T.StructType(
+    _fields(
+        TEXT,
+        "project_id project_name project_no client_company client_contacts project_manager"
+        " project_members status_name tags business_area client_country google_drive_link",
+    )
+    + _fields(MOMENT, "generated_at")
+    + _fields(T.ArrayType(TEXT), "source_document_ids")
+    + _fields(T.ArrayType(SOURCE_ENTRY), "source_documents")
+    + _fields(TEXT, "markdown wiki_status generated_by_model")
+    + _fields(FLAG, "markdown_chunked")
+    + _fields(INT, "markdown_chunk_count")
+    + _fields(LONG, "markdown_total_bytes")
 )
 
-CHUNKS = _struct("project_id string, index int, content string, total_chunks int")
+CHUNKS = T.StructType(
+    _fields(TEXT, "project_id") + _fields(INT, "index") + _fields(TEXT, "content") + _fields(INT, "total_chunks")
+)
 
 # One landed reply of the list call: the status asked for, the page number, the records.
-RECORD_PAGES = _struct("status string, page bigint, data array<variant>")
-
-USERS = _struct("id string, user_id string, firstname string, lastname string, full_name string, email string")
-CONTACTS = _struct(
-    "contact_id string, id string, contact_type string, name string, lastname string,"
-    " search_name string, position string"
+RECORD_PAGES = T.StructType(
+    _fields(TEXT, "status") + _fields(LONG, "page") + _fields(T.ArrayType(T.VariantType()), "data")
 )
-COMPANIES = _struct("company_id string, contact_id string, id string, name string, company_name string")
+
+USERS = T.StructType(_fields(TEXT, "id user_id firstname lastname full_name email"))
+CONTACTS = T.StructType(_fields(TEXT, "contact_id id contact_type name lastname search_name position"))
+COMPANIES = T.StructType(_fields(TEXT, "company_id contact_id id name company_name"))
 
 # They must equal the ones the source systems and the stored tables use.
 PROJECT_ID_PREFIX = "scoro_"
