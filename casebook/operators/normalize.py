@@ -7,27 +7,39 @@ from pyspark.sql import functions as F
 
 from casebook.functions.records import (
     EMPTY_JSON,
-    contact_label,
+    NO_VARIANTS,
+    any_text_at,
     contact_name,
     custom_fields,
     custom_text,
+    custom_texts,
     elements,
-    elements_or_none,
+    elements_at,
     field,
     is_object,
-    joined_list,
-    text,
+    let,
+    person_label,
+    text as variant_text,
+    text_at,
     text_of,
 )
 from casebook.functions.text import filled, first_filled, is_filled, name_hints, safe_date, strip
 from casebook.schemas import ENRICH_BUDGET, ENRICH_STATUSES, PROJECT_ID_PREFIX
 
-NO_TEXTS = "cast(array() as array<string>)"
 MEMBER_FIELDS = ("project_users", "members", "project_users_list")
 
 
+def record_text(*names: str, record: str = "rec") -> Column:
+    return F.expr(text_of(record, *names))
+
+
 def with_custom_fields(raw: DataFrame) -> DataFrame:
-    return raw.withColumn("custom", custom_fields(F.col("rec")))
+    """Adds the custom fields of `rec` as map<string,string>."""
+    return raw.withColumn("custom", F.expr(custom_texts(custom_fields("rec"))))
+
+
+def custom_column(key: str) -> Column:
+    return F.expr(custom_text("custom", "rec", key))
 
 
 # --- dimensions -------------------------------------------------------------------------------
@@ -49,7 +61,7 @@ def contact_labels(contacts: DataFrame, order: str = "ord") -> DataFrame:
     person = F.col("contact_type") == "person"
     label = F.when(
         person,
-        contact_label(*[F.col(c) for c in ("contact_type", "name", "lastname", "search_name", "position")]),
+        F.expr(person_label("name", "lastname", "search_name", "position")),
     ).otherwise(strip(F.coalesce("name", F.lit(""))))
     rows = contacts.select(first_filled(F.col("contact_id"), F.col("id")).alias("contact_id"), label.alias("label"), order)
     return _last_labels(rows, "contact_id", [order])
@@ -104,67 +116,50 @@ def in_enrich_scope(status: Column, scope: str = "active") -> Column:
     return F.lower(F.coalesce(status, F.lit(""))).isin(*ENRICH_STATUSES)
 
 
-def _client_ref(rec: Column, custom: Column) -> Column:
-    """Company id as the record states it: its own field, else the custom field."""
-    return F.coalesce(text_of(rec, "company_id"), text(F.try_element_at(custom, F.lit("c_clientcompany"))))
-
-
-def _listed(value: Column) -> Column:
-    return F.coalesce(~F.to_json(value).isin(*EMPTY_JSON), F.lit(False))
-
-
-def _team_size(rec: Column) -> Column:
-    members, others = field(rec, "project_users"), field(rec, "members")
-    return F.coalesce(F.size(elements(F.when(_listed(members), members).otherwise(others))), F.lit(0))
-
-
-def thinness(raw: DataFrame, companies: DataFrame, rec: str = "rec") -> DataFrame:
+def thinness(raw: DataFrame, companies: DataFrame) -> DataFrame:
     """Adds what a record lacks: `no_client`, `thin_team`, `no_manager`."""
-    record = F.col(rec)
-    staged = raw.withColumn("_fields", custom_fields(record)).withColumn("_company", _client_ref(record, F.col("_fields")))
-    labelled = with_label(staged, "_company", companies, "company_id", "_label", "id")
-    return labelled.withColumns(
+    company_field = let(custom_fields("rec"), "fs", "try_element_at(fs, 'c_clientcompany')")
+    company = f"coalesce({text_at('rec', 'company_id')}, {let(company_field, 'v', variant_text('v'))})"
+    users = field("rec", "project_users")
+    team = f"if(coalesce(to_json({users}) not in {EMPTY_JSON}, false), {elements(users)}, {elements(field('rec', 'members'))})"
+    staged = raw.withColumns(
         {
-            "no_client": ~(is_filled(strip(F.coalesce(text_of(record, "company_name"), F.lit("")))) | is_filled(F.col("_label"))),
-            "thin_team": _team_size(record) < 2,
-            "no_manager": text_of(record, "managerId", "manager_id").isNull(),
+            "_company": F.expr(company),
+            "_stated": strip(F.coalesce(record_text("company_name"), F.lit(""))),
+            "thin_team": F.expr(f"coalesce(size({team}), 0) < 2"),
+            "no_manager": record_text("managerId", "manager_id").isNull(),
         }
-    ).drop("_fields", "_company", "_label")
+    )
+    labelled = with_label(staged, "_company", companies, "company_id", "_label", "id")
+    return labelled.withColumn("no_client", ~(is_filled(F.col("_stated")) | is_filled(F.col("_label")))).drop(
+        "_company", "_stated", "_label"
+    )
 
 
 def needs_enrichment(raw: DataFrame, companies: DataFrame) -> DataFrame:
     return thinness(raw, companies).withColumn("needs", F.col("no_client") | F.col("thin_team") | F.col("no_manager"))
 
 
-def overlay(base: Column, detail: Column) -> Column:
+def overlay(base: str = "rec", detail: str = "detail") -> Column:
     """Lay a detail record over a list record: its non-empty fields win, custom fields merge."""
-    custom_names = ("customFields", "custom_fields")
-    base_map = F.try_variant_get(base, "$", "map<string,variant>")
-    detail_map = F.try_variant_get(detail, "$", "map<string,variant>")
-    has_custom = F.exists(F.map_keys(detail_map), lambda k: k.isin(*custom_names))
-
-    winning = F.map_filter(
-        detail_map,
-        lambda k, v: ~k.isin(*custom_names) & ~F.to_json(v).isin("null", '""', "[]", "{}"),
-    )
-    kept = F.map_filter(
-        base_map,
-        lambda k, v: ~F.map_contains_key(winning, k) & ~(has_custom & k.isin(*custom_names)),
+    as_map = "try_variant_get({0}, '$', 'map<string,variant>')"
+    custom_names = "('customFields', 'custom_fields')"
+    wins = f"map_filter(d, (k, v) -> k not in {custom_names} and to_json(v) not in ('null', '\"\"', '[]', '{{}}'))"
+    has_custom = f"exists(map_keys(d), k -> k in {custom_names})"
+    kept = f"map_filter(b, (k, v) -> not map_contains_key(w, k) and not (k in {custom_names} and {has_custom}))"
+    merged_fields = let(
+        custom_fields(detail), "df", f"map_concat(map_filter({custom_fields(base)}, (k, v) -> not map_contains_key(df, k)), df)"
     )
-    base_custom, detail_custom = custom_fields(base), custom_fields(detail)
-    merged_custom = F.map_concat(
-        F.map_filter(base_custom, lambda k, v: ~F.map_contains_key(detail_custom, k)), detail_custom
+    custom = f"if({has_custom}, map('customFields', to_variant_object({merged_fields})), cast(map() as map<string,variant>))"
+    merged = let(
+        as_map.format(base), "b", let(as_map.format(detail), "d", let(wins, "w", f"to_variant_object(map_concat({kept}, w, {custom}))"))
     )
-    custom_entry = F.when(
-        has_custom, F.create_map(F.lit("customFields"), F.to_variant_object(merged_custom))
-    ).otherwise(F.expr("cast(map() as map<string,variant>)"))
-    merged = F.to_variant_object(F.map_concat(kept, winning, custom_entry))
-    return F.when(detail_map.isNull(), base).otherwise(merged)
+    return F.expr(f"case when {detail} is null or {as_map.format(detail)} is null then {base} else {merged} end")
 
 
 def overlay_details(raw: DataFrame, details: DataFrame) -> DataFrame:
     """raw (id, rec, ...) with the detail record (id, detail) laid over where one exists."""
-    return raw.join(details.select("id", "detail"), "id", "left").withColumn("rec", overlay(F.col("rec"), F.col("detail"))).drop("detail")
+    return raw.join(details.select("id", "detail"), "id", "left").withColumn("rec", overlay()).drop("detail")
 
 
 def budgeted_enrichment(
@@ -183,10 +178,10 @@ def budgeted_enrichment(
     all grants: the running total is taken over at most `budget` rows.
     """
     scoped = needs_enrichment(raw, companies).filter(
-        F.col("needs") & in_enrich_scope(text_of(F.col("rec"), "status"), scope)
+        F.col("needs") & in_enrich_scope(record_text("status"), scope)
     )
     tried = scoped.select("id", order, "rec").join(details.select("id", "detail"), "id", "left")
-    after = thinness(tried.withColumn("rec", overlay(F.col("rec"), F.col("detail"))), companies)
+    after = thinness(tried.withColumn("rec", overlay()), companies)
     priced = (
         after.join(related.select("id", F.lit(1).alias("has_related")), "id", "left")
         .withColumn("detail_cost", F.when(F.col("detail").isNotNull(), 1).otherwise(0))
@@ -216,7 +211,7 @@ def budgeted_enrichment(
         .join(F.broadcast(granted_related), "id", "left")
         .withColumn("detail_granted", F.col("detail").isNotNull())
         .withColumn("related_granted", F.col("related").isNotNull())
-        .withColumn("rec", overlay(F.col("rec"), F.col("detail")))
+        .withColumn("rec", overlay())
         .drop("detail")
     )
 
@@ -224,33 +219,29 @@ def budgeted_enrichment(
 # --- team and client --------------------------------------------------------------------------
 
 
-def _person(label: Column, ref: Column, fallback: Column) -> Column:
-    return F.struct(
-        label.cast("string").alias("label"), ref.cast("string").alias("ref"), fallback.cast("string").alias("fallback")
-    )
+def _person(label: str, ref: str, fallback: str) -> str:
+    """One mention of a person: stated label, id to look up, text to show if both fail."""
+    return f"named_struct('label', cast({label} as string), 'ref', cast({ref} as string), 'fallback', cast({fallback} as string))"
 
 
-def _member(entry: Column) -> Column:
+def _members(name: str) -> str:
     """A team entry is an object or a bare id."""
-    ref = text_of(entry, "user_id", "id")
-    bare = F.try_variant_get(entry, "$", "string")
-    return F.when(
-        is_object(entry),
-        _person(text_of(entry, "full_name", "name"), ref, F.coalesce(text_of(entry, "email"), ref)),
-    ).otherwise(_person(F.lit(None), bare, bare))
+    ref, bare = text_of("m", "user_id", "id"), "try_variant_get(m, '$', 'string')"
+    as_object = _person(text_of("m", "full_name", "name"), ref, f"coalesce({text_at('m', 'email')}, {ref})")
+    return f"transform({elements_at('rec', name)}, m -> if({is_object('m')}, {as_object}, {_person('null', bare, bare)}))"
 
 
-def _items(related: Column, module: str) -> Column:
+def _items(module: str) -> str:
     """Related objects of a module, given as a list or as {items: list}; only objects count."""
-    node = field(related, module)
-    listed = F.coalesce(elements(node), elements(field(node, "items")), elements_or_none(F.lit(None).cast("variant")))
-    return F.filter(listed, is_object)
+    node = field("related", module)
+    listed = f"coalesce({elements(node)}, {elements(field(node, 'items'))}, {NO_VARIANTS})"
+    return f"filter({listed}, o -> {is_object('o')})"
 
 
-def _related_user(user: Column) -> Column:
-    both = strip(F.concat_ws(" ", text_of(user, "firstname"), text_of(user, "lastname")))
-    name = F.coalesce(text_of(user, "full_name"), filled(both), text_of(user, "email"))
-    return _person(name, F.lit(None), F.lit(None))
+def _related_users() -> str:
+    both = f"nullif(trim(concat_ws(' ', {text_at('u', 'firstname')}, {text_at('u', 'lastname')})), '')"
+    name = f"coalesce({text_at('u', 'full_name')}, {both}, {text_at('u', 'email')})"
+    return f"transform({_items('users')}, u -> {_person(name, 'null', 'null')})"
 
 
 def project_team(raw: DataFrame, users: DataFrame) -> DataFrame:
@@ -259,62 +250,56 @@ def project_team(raw: DataFrame, users: DataFrame) -> DataFrame:
     Input columns: id, rec, related (variant, may be NULL). Names are reduced to one row per
     (project, name) before the list of a project is collected.
     """
-    rec, related = F.col("rec"), F.col("related")
-    members = [F.transform(elements_or_none(field(rec, name)), _member) for name in MEMBER_FIELDS]
-    manager = text_of(rec, "managerId", "manager_id")
-    manager_entry = F.when(manager.isNotNull(), F.array(_person(F.lit(None), manager, text_of(rec, "manager_email"))))
-    hint = name_hints(text_of(rec, "project_name"))["colleague"]
-    people = F.concat(
-        *members,
-        F.coalesce(manager_entry, F.filter(F.array(_person(*[F.lit(None)] * 3)), lambda p: F.lit(False))),
-        F.array(_person(hint, F.lit(None), F.lit(None))),
-        F.transform(_items(related, "users"), _related_user),
+    manager = text_of("rec", "managerId", "manager_id")
+    manager_mention = f"if({manager} is null, {_person('null', 'null', 'null')}, {_person('null', manager, text_at('rec', 'manager_email'))})"
+    people = (
+        f"concat({', '.join(_members(name) for name in MEMBER_FIELDS)}, "
+        f"array({manager_mention}, {_person('_hint', 'null', 'null')}), {_related_users()})"
     )
     mentions = (
-        raw.select("id", F.posexplode(people).alias("at", "person"))
-        .select("id", "at", "person.label", "person.fallback", F.when(F.col("person.label").isNull(), filled(F.col("person.ref"))).alias("ref"))
+        raw.select("id", "rec", "related", name_hints(record_text("project_name"))["colleague"].alias("_hint"))
+        .select("id", F.posexplode(F.expr(people)).alias("nth", "person"))
+        .select(
+            "id", "nth", "person.label", "person.fallback",
+            F.when(F.col("person.label").isNull(), filled(F.col("person.ref"))).alias("ref"),
+        )
         .filter("label is not null or ref is not null or fallback is not null")
     )
     named = with_label(mentions, "ref", users, "user_id", "known_name", "id").withColumn(
         "name", strip(first_filled(F.col("label"), F.col("known_name"), F.col("fallback")))
     )
-    firsts = named.filter("name <> ''").groupBy("id", "name").agg(F.min("at").alias("at"))
+    firsts = named.filter("name <> ''").groupBy("id", "name").agg(F.min("nth").alias("nth"))
     return firsts.groupBy("id").agg(
-        F.array_join(F.array_sort(F.collect_list(F.struct("at", "name")))["name"], ", ").alias("project_team")
+        F.array_join(F.array_sort(F.collect_list(F.struct("nth", "name")))["name"], ", ").alias("project_team")
     )
 
 
 def client_info(raw: DataFrame, companies: DataFrame, contacts: DataFrame) -> DataFrame:
     """Adds client_company and client_contacts to rows (id, rec, custom, related)."""
-    rec, related = F.col("rec"), F.col("related")
-    stated = strip(F.coalesce(text_of(rec, "company_name"), F.lit("")))
-    company_ref = F.coalesce(text_of(rec, "company_id"), filled(custom_text(F.col("custom"), rec, "c_clientcompany")))
-    related_names = F.filter(
-        F.transform(_items(related, "companies"), lambda c: strip(F.coalesce(text_of(c, "name"), F.lit("")))),
-        lambda name: name != "",
-    )
     staged = raw.withColumns(
-        {"_ref_company": company_ref, "_stated": stated, "_related_names": related_names}
+        {
+            "_company_name": record_text("company_name"),
+            "_ref_company": F.coalesce(record_text("company_id"), filled(custom_column("c_clientcompany"))),
+            "_hint": name_hints(record_text("project_name"))["contact"],
+            "_companies": F.expr(
+                f"filter(transform({_items('companies')}, c -> trim(coalesce({text_at('c', 'name')}, ''))), n -> n <> '')"
+            ),
+            "_contacts": F.expr(f"transform({_items('contacts')}, c -> trim(coalesce({contact_name('c')}, '')))"),
+        }
     )
     by_company = with_label(staged, "_ref_company", companies, "company_id", "_company_label", "id")
     by_contact = with_label(by_company, "_ref_company", contacts, "contact_id", "_contact_label", "id")
-    direct = first_filled(F.col("_stated"), F.col("_company_label"), F.col("_contact_label"))
-    names = F.col("_related_names")
-    resolved = by_contact.withColumn("_direct", direct)
-    other_companies = F.when(F.col("_direct") == "", F.slice(names, 2, F.greatest(F.size(names), F.lit(1)))).otherwise(names)
-    labels = F.concat(
-        F.array(name_hints(text_of(rec, "project_name"))["contact"]),
-        other_companies,
-        F.transform(_items(related, "contacts"), lambda c: strip(F.coalesce(contact_name(c), F.lit("")))),
-    )
+    stated = strip(F.coalesce("_company_name", F.lit("")))
+    resolved = by_contact.withColumn("_direct", first_filled(stated, F.col("_company_label"), F.col("_contact_label")))
+    # Without any other client the first related company is the client, the others are contacts.
+    others = F.expr("if(_direct = '', slice(_companies, 2, greatest(size(_companies), 1)), _companies)")
+    labels = F.concat(F.array("_hint"), others, F.col("_contacts"))
     return resolved.withColumns(
         {
-            "client_company": first_filled(
-                F.col("_direct"), F.try_element_at(names, F.lit(1)), text_of(rec, "company_name")
-            ),
+            "client_company": first_filled(F.col("_direct"), F.get("_companies", 0), F.col("_company_name")),
             "client_contacts": F.array_join(F.array_distinct(F.filter(labels, lambda n: n != "")), ", "),
         }
-    ).drop("_ref_company", "_stated", "_related_names", "_company_label", "_contact_label", "_direct")
+    ).drop("_company_name", "_ref_company", "_hint", "_companies", "_contacts", "_company_label", "_contact_label", "_direct")
 
 
 # --- project rows -----------------------------------------------------------------------------
@@ -331,22 +316,17 @@ def normalize_projects(
 
     Dates stay text of at most ten characters; the upsert parses them.
     """
-    rec = F.col("rec")
     base = with_custom_fields(raw.select("id", "rec", "related"))
     clients = client_info(base, companies, contacts)
     managed = with_label(
-        clients.withColumn("_manager", text_of(rec, "managerId", "manager_id")), "_manager", users, "user_id", "_manager_name", "id"
+        clients.withColumn("_manager", record_text("managerId", "manager_id")), "_manager", users, "user_id", "_manager_name", "id"
     )
     full = managed.join(project_team(raw, users), "id", "left")
 
     def plain(*names: str) -> Column:
-        return F.coalesce(text_of(rec, *names), F.lit(""))
-
-    def custom(key: str) -> Column:
-        return custom_text(F.col("custom"), rec, key)
+        return F.coalesce(record_text(*names), F.lit(""))
 
-    manager = first_filled(F.col("_manager_name"), text_of(rec, "manager_email"), F.col("_manager"))
-    tags = field(rec, "tags")
+    manager = first_filled(F.col("_manager_name"), record_text("manager_email"), F.col("_manager"))
     return full.select(
         F.concat(F.lit(prefix), F.col("id")).alias("project_id"),
         F.col("id").alias("scoro_id"),
@@ -357,23 +337,23 @@ def normalize_projects(
         manager.alias("project_manager"),
         manager.alias("project_manager_name"),
         F.coalesce("project_team", F.lit("")).alias("project_members"),
-        F.substring(text_of(rec, "date", "start_date"), 1, 10).alias("start_date"),
-        F.substring(text_of(rec, "deadline", "due_date"), 1, 10).alias("due_date"),
+        F.substring(record_text("date", "start_date"), 1, 10).alias("start_date"),
+        F.substring(record_text("deadline", "due_date"), 1, 10).alias("due_date"),
         plain("completed_date").alias("completed_date"),
         plain("description").alias("description"),
         "client_company",
         "client_contacts",
-        first_filled(custom("c_projecttype"), plain("project_type")).alias("project_type"),
-        custom("c_clientcountry").alias("client_country"),
-        custom("c_businessarea").alias("business_area"),
-        custom("c_businesslinedivision").alias("business_line_division"),
-        first_filled(custom("c_budgettype"), plain("budget_type")).alias("budget_type"),
-        custom("c_ponumber").alias("po_number"),
-        custom("c_openponr").alias("open_po_number"),
-        custom("c_relatedproject").alias("related_project"),
-        first_filled(custom("c_gdrivelink"), custom("c_drivelink")).alias("google_drive_link"),
-        custom("c_project_priority").alias("project_priority"),
-        F.when(elements(tags).isNotNull(), joined_list(tags)).otherwise(F.coalesce(text(tags), F.lit(""))).alias("tags"),
+        first_filled(custom_column("c_projecttype"), plain("project_type")).alias("project_type"),
+        custom_column("c_clientcountry").alias("client_country"),
+        custom_column("c_businessarea").alias("business_area"),
+        custom_column("c_businesslinedivision").alias("business_line_division"),
+        first_filled(custom_column("c_budgettype"), plain("budget_type")).alias("budget_type"),
+        custom_column("c_ponumber").alias("po_number"),
+        custom_column("c_openponr").alias("open_po_number"),
+        custom_column("c_relatedproject").alias("related_project"),
+        first_filled(custom_column("c_gdrivelink"), custom_column("c_drivelink")).alias("google_drive_link"),
+        custom_column("c_project_priority").alias("project_priority"),
+        F.expr(any_text_at("rec", "tags")).alias("tags"),
     )
 
 

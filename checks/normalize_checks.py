@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casebook.functions.records import custom_fields, custom_text, elements, joined_list, text, text_of
+from casebook.functions.records import any_text, custom_fields
 from casebook.functions.text import clean_project_name, name_hints, safe_date
 from casebook.operators import normalize as nm
 from checks.fixtures import fixture
@@ -28,34 +28,28 @@ def _companies(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def custom_fields_map(spark: SparkSession, sf: str) -> DataFrame:
-    entries = _raw(spark, sf).select("id", F.explode(custom_fields(F.col("rec"))).alias("key", "v"))
-    listed = elements(F.col("v"))
-    value = F.when(listed.isNotNull(), joined_list(F.col("v"))).otherwise(F.coalesce(text(F.col("v")), F.lit("")))
-    return entries.select("id", "key", value.alias("value"))
+    entries = _raw(spark, sf).select("id", F.explode(F.expr(custom_fields("rec"))).alias("key", "v"))
+    return entries.select("id", "key", F.expr(any_text("v")).alias("value"))
 
 
 def custom_value(spark: SparkSession, sf: str) -> DataFrame:
     raw = nm.with_custom_fields(_raw(spark, sf))
     keys = ("c_projecttype", "c_clientcountry", "c_businessarea", "c_ponumber", "hours", "no_such_key")
-    return raw.select("id", *[custom_text(F.col("custom"), F.col("rec"), key).alias(key) for key in keys])
+    return raw.select("id", *[nm.custom_column(key).alias(key) for key in keys])
 
 
 def overlay_detail(spark: SparkSession, sf: str) -> DataFrame:
     rows = records(spark, sf)
     details = rows.filter("detail is not null").select("id", "detail")
     merged = nm.with_custom_fields(nm.overlay_details(rows.select("id", "rec"), details))
-    rec = F.col("rec")
-    custom = [
-        custom_text(F.col("custom"), rec, key).alias(key)
-        for key in ("c_projecttype", "c_project_priority", "c_ponumber", "c_businessarea")
-    ]
+    keys = ("c_projecttype", "c_project_priority", "c_ponumber", "c_businessarea")
     return merged.select(
         "id",
-        F.coalesce(text_of(rec, "description"), F.lit("")).alias("description"),
-        F.coalesce(text_of(rec, "company_name"), F.lit("")).alias("company_name"),
-        F.try_variant_get(rec, "$.open", "string").alias("is_open"),
-        F.try_variant_get(rec, "$.hours", "string").alias("hours"),
-        *custom,
+        F.coalesce(nm.record_text("description"), F.lit("")).alias("description"),
+        F.coalesce(nm.record_text("company_name"), F.lit("")).alias("company_name"),
+        F.try_variant_get("rec", "$.open", "string").alias("is_open"),
+        F.try_variant_get("rec", "$.hours", "string").alias("hours"),
+        *[nm.custom_column(key).alias(key) for key in keys],
     )
 
 
@@ -109,7 +103,7 @@ def budgeted_enrichment(spark: SparkSession, sf: str) -> DataFrame:
     )
     return result.select(
         "id", "detail_granted", "related_granted",
-        F.coalesce(text_of(F.col("rec"), "description"), F.lit("")).alias("description"),
+        F.coalesce(nm.record_text("description"), F.lit("")).alias("description"),
     )
 
 
