@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from casebook.operators.pages import replace_chunks, replace_pages, stored_chunks, stored_pages
 from casebook.operators.selection import mapped_project_counts, projects_for_processing
 from casebook.operators.upsert import assert_unique, upsert_candidates, upsert_documents, upsert_projects
-from casebook.plans.durable import settle
+from casebook.sources.durable import settle
 from casebook.plans.steps import Scorer, Search, WikiSettings, Writer, classify, discover, write_pages
 from casebook.schemas import (
     CANDIDATE_LIMIT,

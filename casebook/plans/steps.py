@@ -40,7 +40,7 @@ from casebook.operators.pages import (
 from casebook.operators.retrieval import corpus_stats, extractive_passages, retrieve_top_k, term_index
 from casebook.operators.selection import candidate_links, candidates_per_project, mapped_links
 from casebook.operators.wiki_sources import select_sources, source_lists, source_rows
-from casebook.plans.durable import settle
+from casebook.sources.durable import settle
 from casebook.schemas import (
     CANDIDATE_LIMIT,
     CHUNK_BYTES,
@@ -105,7 +105,7 @@ def corpus_search(corpus: DataFrame, text: str = "full_text", k: int = SEARCH_PA
     The index is written once and read by every stage of the search.
     """
     index = settle(term_index(corpus, text), "term-index")
-    stats = corpus_stats(corpus, text)
+    stats = settle(corpus_stats(corpus, text), "corpus-stats")
 
     def search(requests: DataFrame) -> DataFrame:
         hits = settle(retrieve_top_k(requests, index, stats, k), "hits")

@@ -12,7 +12,7 @@ from casebook.operators import classify as cl
 from casebook.operators import discovery as ds
 from casebook.operators import retrieval as rt
 from casebook.operators import selection as sel
-from casebook.plans.durable import settle
+from casebook.sources.durable import settle
 from checks.fixtures import fixture
 from checks.normalize_checks import DEFINITIONS as NORMALIZE_DEFINITIONS
 from checks.selection_checks import DEFINITIONS as SELECTION_DEFINITIONS
@@ -33,7 +33,8 @@ def term_index(spark: SparkSession, sf: str) -> DataFrame:
 def _hits(spark: SparkSession, sf: str) -> DataFrame:
     corpus = fixture(spark, sf, "fx_corpus")
     index = settle(rt.term_index(corpus), "term-index")
-    return rt.retrieve_top_k(fixture(spark, sf, "fx_searches"), index, rt.corpus_stats(corpus), PAGE)
+    stats = settle(rt.corpus_stats(corpus), "corpus-stats")
+    return rt.retrieve_top_k(fixture(spark, sf, "fx_searches"), index, stats, PAGE)
 
 
 def retrieve_top_k(spark: SparkSession, sf: str) -> DataFrame:

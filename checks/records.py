@@ -108,7 +108,8 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
             customFields=F.struct(F.lit("detail type").alias("c_projecttype"), F.lit("low").alias("c_project_priority")),
         ),
     )
-    return projects.join(members, "k", "left").select(
+    # The given files are one small file each; spread the rows as landed files would be.
+    return projects.join(members, "k", "left").repartition("k").select(
         "k", F.col("scoro_id").alias("id"), "status", rec.alias("rec"), related.alias("related"), detail.alias("detail")
     )
 

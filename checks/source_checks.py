@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from casebook.operators import pages as pg
 from casebook.operators import upsert as up
-from casebook.plans.durable import new_place
+from casebook.sources.durable import new_place
 from casebook.schemas import CANDIDATES, DOCUMENT_MAP, DOCUMENTS, PROJECTS
 from casebook.sources import landed, search_results, tables
 from checks.fixtures import fixture

@@ -14,7 +14,7 @@ from casebook.operators import selection as sel
 from casebook.operators import wiki_sources as ws
 from casebook.operators.normalize import normalize_projects
 from casebook.plans import full_sync as runs
-from casebook.plans.durable import new_place
+from casebook.sources.durable import new_place
 from casebook.plans.steps import Dimensions, WikiSettings, corpus_search, project_rows, write_pages
 from casebook.sources.landed import read_pages
 from casebook.streaming.ingest import newest_version, start_ingest
