@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from casebook.operators.upsert import upsert_projects
 from casebook.schemas import PROJECTS, RECORD_PAGES
+from casebook.sources.durable import settle
 from casebook.sources.landed import first_seen, raw_projects
 
 
@@ -41,8 +42,9 @@ def start_ingest(
             if batch_id > 0
             else session.createDataFrame([], PROJECTS)
         )
-        batch = normalize(first_seen(raw_projects(pages, statuses)))
-        upsert_projects(target, batch, as_of).write.mode("overwrite").parquet(f"{versions}/batch={batch_id}")
+        batch = settle(normalize(first_seen(raw_projects(pages, statuses))), "landed-projects")
+        # Written once because the upsert reads it three times, so that the large table need not shuffle.
+        upsert_projects(target, batch, as_of, small_source=True).write.mode("overwrite").parquet(f"{versions}/batch={batch_id}")
 
     return (
         reader.json(landing)
