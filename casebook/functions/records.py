@@ -59,7 +59,7 @@ def elements_at(record: str, name: str) -> str:
 
 
 def is_object(value: str) -> str:
-    return f"coalesce(schema_of_variant({value}) like 'OBJECT%', false)"
+    return f"coalesce(try_variant_get({value}, '$', 'string') like '{{%' and schema_of_variant({value}) like 'OBJECT%', false)"
 
 
 def joined(items: str) -> str:
@@ -103,8 +103,8 @@ def custom_text(texts: str, record: str, key: str) -> str:
 def person_label(name: str, lastname: str, search_name: str, position: str) -> str:
     """`search name`, or else first and last name, with the position in parentheses."""
     person = f"coalesce(nullif({search_name}, ''), trim(concat_ws(' ', nullif({name}, ''), nullif({lastname}, ''))))"
-    role = f"trim(coalesce({position}, ''))"
-    return f"concat({person}, if({person} <> '' and {role} <> '', concat(' (', {role}, ')'), ''))"
+    label = "concat(p.person, if(p.person <> '' and p.role <> '', concat(' (', p.role, ')'), ''))"
+    return let(f"named_struct('person', {person}, 'role', trim(coalesce({position}, '')))", "p", label)
 
 
 def contact_name(contact: str) -> str:

@@ -258,7 +258,8 @@ def project_team(raw: DataFrame, users: DataFrame) -> DataFrame:
     )
     mentions = (
         raw.select("id", "rec", "related", name_hints(record_text("project_name"))["colleague"].alias("_hint"))
-        .select("id", F.posexplode(F.expr(people)).alias("nth", "person"))
+        # Outer, so that no size filter is inferred that would build the list twice; it is never empty.
+        .select("id", F.posexplode_outer(F.expr(people)).alias("nth", "person"))
         .select(
             "id", "nth", "person.label", "person.fallback",
             F.when(F.col("person.label").isNull(), filled(F.col("person.ref"))).alias("ref"),
