@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -79,7 +79,7 @@ def sync_documents(tables: Tables, search: Search, settings: RunSettings) -> tup
 
 
 def sync_mappings(tables: Tables, settings: RunSettings) -> tuple[Tables, int, int]:
-    chosen = projects_for_processing(tables["projects"], settings.mode, settings.project_limit).select("*")
+    chosen = projects_for_processing(tables["projects"], settings.mode, settings.project_limit)
     candidates = tables["candidates"].join(chosen.select("project_id"), "project_id", "left_semi")
     mappings = settle(
         classify(
@@ -154,8 +154,6 @@ def _logged(
 
 def historical_sync(spark: SparkSession, tables: Tables, project_rows: DataFrame, search: Search, settings: RunSettings) -> Tables:
     """The same run over all projects, closed ones included."""
-    from dataclasses import replace
-
     return full_sync(spark, tables, project_rows, search, replace(settings, mode="all"))
 
 

@@ -2,18 +2,25 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+@functools.cache
+def _own_folder() -> str:
+    return tempfile.mkdtemp(prefix="casebook-")
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names in spark.checkpoint.dir; one of our own where it names none."""
+    """The folder the cluster names in spark.checkpoint.dir; in local mode one of our own where it names none."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
-        folder = tempfile.mkdtemp(prefix="casebook-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        if not spark.conf.get("spark.master").startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = _own_folder()
     return folder.rstrip("/")
 
 

@@ -17,7 +17,7 @@ from casebook.operators import pages as pg
 from casebook.operators import selection as sel
 from casebook.operators import upsert as up
 from casebook.operators import wiki_sources as ws
-from casebook.schemas import CANDIDATES, DOCUMENTS, PROJECTS
+from casebook.schemas import CANDIDATES, DOCUMENTS, PROJECTS, USERS
 from casebook.sources import landed, search_results, tables
 
 NOW = datetime(2026, 1, 2, 3, 4, 5)
@@ -84,6 +84,20 @@ def test_pages_behind_the_short_page_are_ignored(spark):
     assert sorted(r[0] for r in got) == [1, 2, 3]
 
 
+def test_landed_lists_give_dimensions(spark, tmp_path):
+    lines = [{"page": 2, "data": [{"id": 7, "firstname": "New", "lastname": " N "}]}, {"page": 1, "data": [{"id": 7, "firstname": "Old"}, {"user_id": 8, "email": "e@x"}, {"id": 9}]}]
+    (tmp_path / "users.json").write_text("\n".join(map(json.dumps, lines)))
+    users = nm.user_labels(landed.read_list(spark, str(tmp_path), USERS))
+    assert {(r.user_id, r.label) for r in users.collect()} == {("7", "New N"), ("8", "e@x")}
+
+
+def test_written_tables_need_a_shared_folder(spark):
+    from casebook.sources.durable import new_place, settle
+
+    assert "/casebook/x-" in new_place(spark, "x")
+    assert settle(spark.range(3).withColumn("v", F.col("id").cast("variant")), "x").count() == 3
+
+
 def test_statuses_to_read():
     assert landed.statuses_to_read() == ["inprogress"]
     assert landed.statuses_to_read("all", " a, ,b ") == ["a", "b"]
