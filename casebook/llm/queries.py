@@ -3,18 +3,69 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from casebook.llm.common import table
+from casebook.llm import mixing
+from casebook.llm.common import fold_of, table
+from casebook.llm.compression_quality import learn_compression, score_quality
+from casebook.llm.fm_index import contamination
+from casebook.llm.language_filters import learn_filters, predict_languages
 from casebook.llm.ngram_jaccard import jaccard_components
+from casebook.llm.pivot_index import near_vectors
+from casebook.llm.secret_layers import secret_spans
+from casebook.llm.warc import archived_pages
 
 
 def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), k=3, percent=90)
 
 
+def op2_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = fold_of("doc_id", 5) == 0
+    model = learn_compression(documents, labels, ~held_out)
+    scored = score_quality(documents.select("doc_id", held_out.alias("held_out"), "text"), model)
+    return scored.withColumn("predicted", F.when(F.col("score") >= 0.3, 1).otherwise(0))
+
+
+def op4_pivot_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op5_secret_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_spans(table(spark, sf_dir, "documents"))
+
+
+def op7_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return judged.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+def op8_language_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    held_out = fold_of("doc_id", 3) == 1
+    filters = learn_filters(documents, ~held_out)
+    return predict_languages(documents.select("doc_id", held_out.alias("held_out"), "text"), filters)
+
+
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archived_pages(table(spark, sf_dir, "pages"))
+
+
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_sources(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
+    "op2_compression_quality": op2_compression_quality,
+    "op4_pivot_index": op4_pivot_index,
+    "op5_secret_layers": op5_secret_layers,
+    "op7_fm_index": op7_fm_index,
+    "op8_language_filters": op8_language_filters,
+    "op9_warc": op9_warc,
+    "op10_mixing": op10_mixing,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES = {"op10_mixing": mixing.ORACLE}
 DEFINITIONS: dict[str, str] = {}
