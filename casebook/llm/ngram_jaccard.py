@@ -2,7 +2,9 @@
 
 1. Every document becomes a sorted array of distinct 64-bit shingle hashes. Sizes fall into bands; two sets that reach
    the threshold lie in one band or in neighbouring ones and differ in at most H elements, H fixed by the band. Cut by
-   element hash into H + 1 parts, such sets agree in one whole part. So sets that share no part key need no comparison.
+   element hash into more than H parts, such sets agree in a whole part. So sets that share no part need no comparison.
+   A part may be empty. A set with E empty parts and more than H + E parts in all shares a part that is not empty with
+   every partner; so empty parts count only for sets where that fails.
 2. Sets that share a part key are tied to the first of them, inside a batch before anything is shuffled; the connected
    groups of these ties hold every pair that can link.
 3. A group is dealt into tiles of bounded size (all blocks of the group against each other). In a tile a bitmap of each
@@ -58,17 +60,19 @@ def part_keys(sets: np.ndarray, band: int, ends: np.ndarray, threshold: float) -
             continue
         largest = ends[tile + 1] - 1
         differ = int(np.floor((largest + largest / threshold) * (1 - threshold) / (1 + threshold) + 1e-9))
-        parts = differ + 1
+        parts = differ + 3 + differ // 10 if differ else 1
         where = ((sets >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)  # grows with the hash
         sums = np.zeros(len(sets) + 1, dtype=np.uint64)
         np.cumsum(mix(sets), out=sums[1:])
         cuts = np.searchsorted(where, np.arange(parts + 1, dtype=np.uint64))
         content = sums[cuts[1:]] - sums[cuts[:-1]]
-        out.append(mix(content * _STEP[0] + mix(np.arange(parts, dtype=np.uint64) + np.uint64(tile << 32))))
+        keys = mix(content * _STEP[0] + mix(np.arange(parts, dtype=np.uint64) + np.uint64(tile << 32)))
+        filled = cuts[1:] > cuts[:-1]
+        out.append(keys[filled] if parts - differ > parts - filled.sum() else keys)
     return np.concatenate(out)
 
 
-def _sign(k: int, threshold: float, parts: int):
+def _sign(k: int, threshold: float):
     ends = bands(threshold, 1 << 40)
     shift = np.uint64(16)
 
@@ -103,10 +107,10 @@ def _sign(k: int, threshold: float, parts: int):
                 a, b = (tied >> shift).astype(np.int64), (tied & np.uint64(0xFFFF)).astype(np.int64)
                 yield _rows(a=base + a[a != b], b=base + b[a != b])
                 once = packed[head]
-                part = ((once >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
-                cuts = np.searchsorted(part, np.arange(parts + 1))
-                full = [p for p in range(parts) if cuts[p] < cuts[p + 1]]
-                yield _rows(part=full, first=[base] * len(full), keys=[once[cuts[p] : cuts[p + 1]].tobytes() for p in full])
+                cuts = np.searchsorted(once >> np.uint64(56), np.arange(257, dtype=np.uint64))
+                full = [p for p in range(256) if cuts[p] < cuts[p + 1]]
+                low = once.view(np.uint8).reshape(-1, 8)[:, :7]  # the highest byte is the part
+                yield _rows(part=full, first=[base] * len(full), keys=[low[cuts[p] : cuts[p + 1]].tobytes() for p in full])
 
     return run
 
@@ -130,8 +134,10 @@ def _ties(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     found: list[np.ndarray] = []
     nodes: list[np.ndarray] = []
     for batch in batches:
-        for first, packed in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-            own = np.frombuffer(packed, dtype=np.uint64)
+        for part, first, packed in zip(*(c.to_pylist() for c in batch.columns)):
+            wide = np.full((len(packed) // 7, 8), part, dtype=np.uint8)
+            wide[:, :7] = np.frombuffer(packed, dtype=np.uint8).reshape(-1, 7)
+            own = wide.view(np.uint64).ravel()
             found.append(own >> np.uint64(16))
             nodes.append((own & np.uint64(0xFFFF)).astype(np.int64) + first)
     if not found:
@@ -223,10 +229,10 @@ def jaccard_components(documents: DataFrame, k: int = 5, percent: int = 80, bloc
     """
     spark = documents.sparkSession
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    signed = settle(docs.mapInArrow(_sign(k, percent / 100, 1024), _SIGNED), "shingle-keys")
+    signed = settle(docs.mapInArrow(_sign(k, percent / 100), _SIGNED), "shingle-keys")
     packed = signed.where("part is not null").select("part", "first", "keys")
     held = packed.agg(F.sum(F.length("keys"))).first()[0] or 0
-    tasks = int(min(1024, max(1, held // part_bytes, int(spark.conf.get("spark.sql.shuffle.partitions")))))
+    tasks = int(min(256, max(1, held // part_bytes, int(spark.conf.get("spark.sql.shuffle.partitions")))))
     across = packed.repartition(tasks, "part").mapInArrow(_ties, "a long, b long")
     ties = signed.where("a is not null").select("a", "b").union(across)
     groups = settle(components(ties, "shingle-ties"), "shingle-groups")
