@@ -134,13 +134,13 @@ def _slot_rows(probes: int, slots: int):
     return run
 
 
-def _predict(shared):
+def _predict(shared, new: tuple[str, str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filters = shared.value
         for batch in batches:
             found = [filters.predict(text.as_py()) for text in batch.column(batch.num_columns - 1)]
             kept = [batch.column(i) for i in range(batch.num_columns - 1)]
-            names = batch.schema.names[:-1] + ["lang_pred", "score"]
+            names = [*batch.schema.names[:-1], *new]
             yield pa.RecordBatch.from_arrays(
                 [*kept, pa.array([x for x, _ in found], pa.string()), pa.array([x for _, x in found], pa.float64())], names=names
             )
@@ -148,9 +148,7 @@ def _predict(shared):
     return run
 
 
-def predict_languages(rows: DataFrame, filters: LanguageFilters) -> DataFrame:
-    """`rows`, whose last column is the text, with lang_pred and score in its place."""
+def predict_languages(rows: DataFrame, filters: LanguageFilters, names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """`rows`, whose last column is the text, with the predicted language and its score in its place."""
     shared = rows.sparkSession.sparkContext.broadcast(filters)
-    kept = rows.schema[:-1]
-    out = kept.add("lang_pred", "string").add("score", "double") if len(kept) else "lang_pred string, score double"
-    return rows.mapInArrow(_predict(shared), out)
+    return rows.mapInArrow(_predict(shared, names), rows.schema[:-1].add(names[0], "string").add(names[1], "double"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from casebook.llm import mixing
 from casebook.llm.common import fold_of, table
 from casebook.llm.compression_quality import learn_compression, score_quality
@@ -13,6 +14,8 @@ from casebook.llm.language_filters import learn_filters, predict_languages
 from casebook.llm.ngram_jaccard import jaccard_components
 from casebook.llm.pivot_index import near_vectors
 from casebook.llm.secret_layers import secret_spans
+from casebook.llm.suffix_repeats import cut_repeats
+from casebook.llm.toxicity import learn_toxicity, score_toxicity
 from casebook.llm.warc import archived_pages
 
 
@@ -28,6 +31,10 @@ def op2_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", F.when(F.col("score") >= 0.3, 1).otherwise(0))
 
 
+def op3_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cut_repeats(table(spark, sf_dir, "documents"))
+
+
 def op4_pivot_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"))
 
@@ -36,6 +43,14 @@ def op5_secret_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_spans(table(spark, sf_dir, "documents"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    fold = fold_of("doc_id", 4)
+    model = learn_toxicity(documents, labels, fold != 2, fold == 3)
+    scored = score_toxicity(documents.select("doc_id", (fold == 2).alias("held_out"), "text"), model)
+    return scored.withColumn("predicted", F.when(F.col("score") >= 0.3, 1).otherwise(0))
+
+
 def op7_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return judged.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
@@ -59,12 +74,15 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_compression_quality": op2_compression_quality,
+    "op3_suffix_repeats": op3_suffix_repeats,
     "op4_pivot_index": op4_pivot_index,
     "op5_secret_layers": op5_secret_layers,
+    "op6_toxicity": op6_toxicity,
     "op7_fm_index": op7_fm_index,
     "op8_language_filters": op8_language_filters,
     "op9_warc": op9_warc,
     "op10_mixing": op10_mixing,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES = {"op10_mixing": mixing.ORACLE}
