@@ -24,7 +24,8 @@ from casebook.functions.records import (
     text_of,
 )
 from casebook.functions.text import filled, first_filled, is_filled, name_hints, safe_date, strip
-from casebook.schemas import ENRICH_BUDGET, ENRICH_STATUSES, PROJECT_ID_PREFIX
+from casebook.schemas import ENRICH_STATUSES, PROJECT_ID_PREFIX
+from casebook.sources.durable import settle
 
 MEMBER_FIELDS = ("project_users", "members", "project_users_list")
 
@@ -162,20 +163,34 @@ def overlay_details(raw: DataFrame, details: DataFrame) -> DataFrame:
     return raw.join(details.select("id", "detail"), "id", "left").withColumn("rec", overlay()).drop("detail")
 
 
+def _running_total(priced: DataFrame, order: str) -> DataFrame:
+    """`priced` with `spent`, the cost of all rows before it; written once, as ranges are cut by a sample."""
+    ranged = settle(priced.repartitionByRange(order, "id").withColumn("range", F.spark_partition_id()), "priced-ranges")
+    earlier = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    offsets = (
+        ranged.groupBy("range")
+        .agg(F.sum("cost").alias("sum"))
+        .select("range", F.coalesce(F.sum("sum").over(earlier), F.lit(0)).alias("offset"))
+    )
+    so_far = Window.partitionBy("range").orderBy(order, "id").rowsBetween(Window.unboundedPreceding, -1)
+    inside = ranged.withColumn("inside", F.coalesce(F.sum("cost").over(so_far), F.lit(0)))
+    return inside.join(offsets, "range").withColumn("spent", F.col("inside") + F.col("offset"))
+
+
 def budgeted_enrichment(
     raw: DataFrame,
     details: DataFrame,
     related: DataFrame,
     companies: DataFrame,
-    budget: int = ENRICH_BUDGET,
+    budget: int | None = None,
     scope: str = "active",
     order: str = "ord",
 ) -> DataFrame:
     """Records with granted detail and related objects, in project order until the budget is used.
 
     One call for a detail record, one more for related objects where client or team are still thin
-    after it. Every spending project costs at least one call, so the first `budget` of them hold
-    all grants: the running total is taken over at most `budget` rows.
+    after it. Without a budget every call is granted. The running total is taken range by range of
+    the order, with the sums of the earlier ranges added, so no task holds the whole queue.
     """
     scoped = needs_enrichment(raw, companies).filter(
         F.col("needs") & in_enrich_scope(record_text("status"), scope)
@@ -193,22 +208,20 @@ def budgeted_enrichment(
         .filter("cost > 0")
         .select("id", order, "detail_cost", "related_cost", "cost")
     )
-    queue = priced.orderBy(order, "id").limit(budget)
-    so_far = Window.orderBy(order, "id").rowsBetween(Window.unboundedPreceding, -1)
+    within = F.lit(True) if budget is None else F.col("spent") < budget
+    within_both = F.lit(True) if budget is None else F.col("spent") + F.col("detail_cost") < budget
+    queue = priced.withColumn("spent", F.lit(0)) if budget is None else _running_total(priced, order)
     granted = (
-        queue.withColumn("spent", F.coalesce(F.sum("cost").over(so_far), F.lit(0)))
-        .withColumn("detail_granted", (F.col("detail_cost") > 0) & (F.col("spent") < budget))
-        .withColumn("related_granted", (F.col("related_cost") > 0) & (F.col("spent") + F.col("detail_cost") < budget))
+        queue.withColumn("detail_granted", (F.col("detail_cost") > 0) & within)
+        .withColumn("related_granted", (F.col("related_cost") > 0) & within_both)
         .filter("detail_granted or related_granted")
         .select("id", "detail_granted", "related_granted")
     )
-    # `granted` holds at most `budget` rows.
-    grants = F.broadcast(granted)
-    granted_details = details.join(grants.filter("detail_granted"), "id").select("id", "detail")
-    granted_related = related.join(grants.filter("related_granted"), "id").select("id", "related")
+    granted_details = details.join(granted.filter("detail_granted"), "id").select("id", "detail")
+    granted_related = related.join(granted.filter("related_granted"), "id").select("id", "related")
     return (
-        raw.join(F.broadcast(granted_details), "id", "left")
-        .join(F.broadcast(granted_related), "id", "left")
+        raw.join(granted_details, "id", "left")
+        .join(granted_related, "id", "left")
         .withColumn("detail_granted", F.col("detail").isNotNull())
         .withColumn("related_granted", F.col("related").isNotNull())
         .withColumn("rec", overlay())

@@ -234,7 +234,7 @@ def reassembled_pages(pages: DataFrame, chunks: DataFrame) -> DataFrame:
 
 
 def source_document_ids(links: DataFrame) -> DataFrame:
-    """Ids of all mapped documents of a project in order of confidence (at most the source limit)."""
+    """Ids of all mapped documents of a project in order of confidence."""
     return links.groupBy("project_id").agg(
         F.array_sort(F.collect_list(F.struct("position", "document_id")))["document_id"].alias("source_document_ids")
     )

@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from casebook.schemas import CLOSED_STATUSES_OF_REPORT
-
-REPORT_PREVIEW_CHARS = 100
+from casebook.sources.search_results import cut
 
 
 def _newest(df: DataFrame, moment: str, keys: list[str], n: int) -> DataFrame:
@@ -23,9 +22,9 @@ def recent_projects(projects: DataFrame, n: int = 20) -> DataFrame:
     return _newest(projects, "imported_at", ["project_id"], n).select("project_id", "project_no", "project_name", "status")
 
 
-def recent_documents(documents: DataFrame, n: int = 20) -> DataFrame:
+def recent_documents(documents: DataFrame, n: int = 20, preview_chars: int | None = None) -> DataFrame:
     return _newest(documents, "imported_at", ["document_id"], n).select(
-        "document_id", "title", F.substring("text_preview", 1, REPORT_PREVIEW_CHARS).alias("preview")
+        "document_id", "title", cut(F.col("text_preview"), preview_chars).alias("preview")
     )
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from casebook.functions.text import first_filled, is_filled
@@ -17,11 +17,11 @@ from casebook.functions.titles import (
     version_number,
 )
 from casebook.schemas import (
-    SOURCE_CONTENT_CHARS,
     WIKI_FALLBACK_LIMIT,
     WIKI_MIN_SOURCES,
     WIKI_PREFILTER_CAP,
 )
+from casebook.sources.search_results import cut
 
 
 def title_features(documents: DataFrame, org: str = "Agency") -> DataFrame:
@@ -103,22 +103,34 @@ def select_sources(
     return numbered.filter(within).select(*docs.columns, "version", "base", "branch", "index")
 
 
-def source_rows(selected: DataFrame, documents: DataFrame, max_chars: int = SOURCE_CONTENT_CHARS) -> DataFrame:
-    """Numbered sources with type, link and content; only here does document text join in."""
+def source_rows(selected: DataFrame, documents: DataFrame, max_chars: int | None = None) -> DataFrame:
+    """Numbered sources with type, link and content; only here does document text join in.
+
+    Contents are whole unless `max_chars` cuts them.
+    """
     texts = documents.select("document_id", "full_text", "text_preview")
-    content = F.substring(first_filled(F.col("full_text"), F.col("text_preview")), 1, max_chars)
-    return selected.join(texts, "document_id", "left").select(
+    content = cut(first_filled(F.col("full_text"), F.col("text_preview")), max_chars)
+    return _described(selected.join(texts, "document_id", "left"), content.alias("content"))
+
+
+def named_sources(selected: DataFrame) -> DataFrame:
+    """Numbered sources with type and link, without document text."""
+    return _described(selected)
+
+
+def _described(rows: DataFrame, *more: Column) -> DataFrame:
+    return rows.select(
         "project_id",
         "index",
         F.coalesce("title", F.lit("")).alias("title"),
         "document_id",
         document_type(F.coalesce("title", F.lit(""))).alias("type"),
         best_url(F.col("source_url"), F.col("url")).alias("url"),
-        content.alias("content"),
+        *more,
     )
 
 
 def source_lists(sources: DataFrame) -> DataFrame:
     """project_id -> ordered array of source structs; at most cap entries per project."""
-    entry = F.struct("index", "title", "document_id", "type", "url", "content")
+    entry = F.struct(*[c for c in ("index", "title", "document_id", "type", "url", "content") if c in sources.columns])
     return sources.groupBy("project_id").agg(F.array_sort(F.collect_list(entry)).alias("sources"))

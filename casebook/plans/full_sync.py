@@ -14,14 +14,12 @@ from casebook.operators.upsert import assert_unique, upsert_candidates, upsert_d
 from casebook.sources.durable import settle
 from casebook.plans.steps import Scorer, Search, WikiSettings, Writer, classify, discover, write_pages
 from casebook.schemas import (
-    CANDIDATE_LIMIT,
     CANDIDATES,
     CHUNKS,
     DOCUMENT_MAP,
     DOCUMENTS,
     JOB_NAMES,
     PAGES,
-    PROJECT_LIMIT,
     PROJECTS,
     RUNS,
 )
@@ -48,8 +46,8 @@ class RunSettings:
     run_id: str
     as_of: datetime
     mode: str = "active"
-    project_limit: int | None = PROJECT_LIMIT
-    candidate_limit: int = CANDIDATE_LIMIT
+    project_limit: int | None = None
+    candidate_limit: int | None = None
     wiki: WikiSettings = field(default_factory=WikiSettings)
     scorer: Scorer | None = None
     writer: Writer | None = None

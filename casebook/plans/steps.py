@@ -39,14 +39,10 @@ from casebook.operators.pages import (
 )
 from casebook.operators.retrieval import corpus_stats, extractive_passages, retrieve_top_k, term_index
 from casebook.operators.selection import candidate_links, candidates_per_project, mapped_links
-from casebook.operators.wiki_sources import select_sources, source_lists, source_rows
+from casebook.operators.wiki_sources import named_sources, select_sources, source_lists, source_rows
 from casebook.sources.durable import settle
 from casebook.schemas import (
-    CANDIDATE_LIMIT,
     CHUNK_BYTES,
-    ENRICH_BUDGET,
-    FULL_TEXT_CHARS,
-    PREVIEW_CHARS,
     PROJECT_ID_PREFIX,
     SEARCH_PAGE_SIZE,
     WIKI_FALLBACK_LIMIT,
@@ -55,6 +51,7 @@ from casebook.schemas import (
     WIKI_SOURCE_LIMIT,
 )
 from casebook.sources.landed import first_seen, raw_projects
+from casebook.sources.search_results import cut
 
 Search = Callable[[DataFrame], DataFrame]
 Scorer = Callable[[pd.DataFrame], pd.Series]
@@ -77,6 +74,7 @@ class WikiSettings:
     fallback: int = WIKI_FALLBACK_LIMIT
     minimum: int = WIKI_MIN_SOURCES
     chunk_bytes: int = CHUNK_BYTES
+    content_chars: int | None = None
     org: str = "Agency"
     model: str = "template"
 
@@ -87,7 +85,7 @@ def project_rows(
     dimensions: Dimensions,
     details: DataFrame | None = None,
     related: DataFrame | None = None,
-    budget: int = ENRICH_BUDGET,
+    budget: int | None = None,
     prefix: str = PROJECT_ID_PREFIX,
 ) -> DataFrame:
     """Step 1: landed pages to normalised project rows, enriched within the call budget."""
@@ -99,7 +97,9 @@ def project_rows(
     return normalize_projects(enriched, dimensions.users, dimensions.companies, dimensions.contacts, prefix)
 
 
-def corpus_search(corpus: DataFrame, text: str = "full_text", k: int = SEARCH_PAGE_SIZE) -> Search:
+def corpus_search(
+    corpus: DataFrame, text: str = "full_text", k: int = SEARCH_PAGE_SIZE, preview_chars: int | None = None, text_chars: int | None = None
+) -> Search:
     """Search over a documents table: BM25 hits with their best passages as document rows.
 
     The index is written once and read by every stage of the search.
@@ -129,8 +129,8 @@ def corpus_search(corpus: DataFrame, text: str = "full_text", k: int = SEARCH_PA
             "url",
             "source_url",
             F.lit("").alias("author"),
-            F.substring(first_filled(F.col("snippet"), F.col("_parts")), 1, PREVIEW_CHARS).alias("text_preview"),
-            F.substring("_parts", 1, FULL_TEXT_CHARS).alias("full_text"),
+            cut(first_filled(F.col("snippet"), F.col("_parts")), preview_chars).alias("text_preview"),
+            cut(F.col("_parts"), text_chars).alias("full_text"),
         )
 
     return search
@@ -156,14 +156,14 @@ def classify(
     documents: DataFrame,
     run_id: str,
     as_of: datetime,
-    k: int = CANDIDATE_LIMIT,
+    k: int | None = None,
     scorer: Scorer | None = None,
     method: str = "evidence_rules",
 ) -> DataFrame:
     """Step 3: rows for the document map, by the native rules or a user-supplied batch scorer."""
     if scorer is None:
         links = candidate_links(candidates, documents, k)
-        described = documents.select("document_id", "title", "text_preview")
+        described = documents.select("document_id", "title", "folder_path", "text_preview")
         pairs = links.join(described, "document_id").join(project_facts(projects), "project_id")
         matches = evidence_score(pairs).withColumn("evidence", F.lit(None).cast("string"))
     else:
@@ -183,16 +183,18 @@ def write_pages(
 ) -> DataFrame:
     """Step 4: page rows with chunks for the given projects, from their mapped documents."""
     own_map = document_map.join(projects.select("project_id"), "project_id", "left_semi")
-    links = mapped_links(own_map, documents, settings.source_limit)
+    links = settle(mapped_links(own_map, documents), "page-links")
+    best = links.filter(F.col("position") <= settings.source_limit)
     numbers = projects.select("project_id", first_filled(F.col("project_no"), F.col("project_id")).alias("project_no"))
     described = documents.select("document_id", "title", "source_url", "url")
-    docs = links.join(described, "document_id").join(numbers, "project_id")
-    selected = select_sources(docs, settings.cap, settings.fallback, settings.minimum, settings.org)
-    sources = source_lists(source_rows(selected, documents))
+    docs = best.join(described, "document_id").join(numbers, "project_id")
+    chosen = select_sources(docs, settings.cap, settings.fallback, settings.minimum, settings.org)
+    selected = settle(chosen, "page-sources")
+    sources = source_lists(source_rows(selected, documents, settings.content_chars))
     prompts = wiki_prompts(projects, sources, settings.org)
     if writer is None:
         bodies = template_bodies(prompts)
     else:
         bodies = batch_generate(prompts, writer).join(sources, "project_id")
     markdown = finalize_pages(bodies).unionByName(no_source_pages(projects, links, settings.org))
-    return page_records(projects, links, sources, markdown, settings.model, as_of, settings.chunk_bytes)
+    return page_records(projects, links, source_lists(named_sources(selected)), markdown, settings.model, as_of, settings.chunk_bytes)

@@ -108,19 +108,10 @@ CLOSED_STATUSES_OF_REPORT = ("done", "completed", "cancelled", "closed")
 ENRICH_STATUSES = ("inprogress", "pending", "future", "plan")
 JOB_NAMES = ("scoro-sync", "document-discovery", "taxonomy-sync", "wiki-generate", "full-sync")
 
-PROJECT_LIMIT = 100
 SEARCH_PAGE_SIZE = 25
-CANDIDATE_LIMIT = 50
 WIKI_SOURCE_LIMIT = 50
 WIKI_PREFILTER_CAP = 35
 WIKI_FALLBACK_LIMIT = 10
 WIKI_MIN_SOURCES = 4
-ENRICH_BUDGET = 250
 CONFIDENCE_FLOOR = 0.75
-PREVIEW_CHARS = 1000
-FULL_TEXT_CHARS = 12000
-CLASSIFIER_PREVIEW_CHARS = 500
-QUERY_DESCRIPTION_CHARS = 200
-SOURCE_CONTENT_CHARS = 18000
-ERROR_MESSAGE_CHARS = 1000
 CHUNK_BYTES = 900_000

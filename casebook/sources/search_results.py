@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from casebook.functions.text import filled, first_filled
-from casebook.schemas import FULL_TEXT_CHARS, PREVIEW_CHARS
 
 PASSAGES = "array<struct<content:string,pageContent:string>>"
 SEARCH_RESULT = (
@@ -29,8 +28,17 @@ def _contents(passages: Column) -> Column:
     return F.coalesce(F.array_compact(texts), F.array().cast("array<string>"))
 
 
-def parse_search_results(results: DataFrame, json_column: str = "result") -> DataFrame:
-    """One documents row per search result; results without id and name are dropped."""
+def cut(text: Column, chars: int | None) -> Column:
+    return text if chars is None else F.substring(text, 1, chars)
+
+
+def parse_search_results(
+    results: DataFrame, json_column: str = "result", preview_chars: int | None = None, text_chars: int | None = None
+) -> DataFrame:
+    """One documents row per search result; results without id and name are dropped.
+
+    Texts are whole unless `preview_chars` and `text_chars` cut them.
+    """
     carried = [c for c in results.columns if c != json_column]
     doc = F.col("_item.document")
     derived, struct = F.col("_item.document.derivedStructData"), F.col("_item.document.structData")
@@ -64,6 +72,6 @@ def parse_search_results(results: DataFrame, json_column: str = "result") -> Dat
         first_filled(F.col("_source_url"), struct["uri"], name).alias("url"),
         F.col("_source_url").alias("source_url"),
         F.lit("").alias("author"),
-        F.substring(first_filled(F.col("_snippet"), F.col("_text")), 1, PREVIEW_CHARS).alias("text_preview"),
-        F.substring("_text", 1, FULL_TEXT_CHARS).alias("full_text"),
+        cut(first_filled(F.col("_snippet"), F.col("_text")), preview_chars).alias("text_preview"),
+        cut(F.col("_text"), text_chars).alias("full_text"),
     )

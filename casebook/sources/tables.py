@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from casebook.functions.text import filled
-from casebook.schemas import ERROR_MESSAGE_CHARS, RUNS
+from casebook.schemas import RUNS
+from casebook.sources.search_results import cut
 
 
 def align_to_schema(df: DataFrame, schema: T.StructType, fill_text: bool = True) -> DataFrame:
@@ -45,14 +46,14 @@ def append_rows(rows: DataFrame, path: str) -> None:
     rows.write.mode("append").parquet(path)
 
 
-def run_log(runs: DataFrame) -> DataFrame:
-    """Rows of the run log: message cut, an empty one is NULL, missing counts are 0."""
+def run_log(runs: DataFrame, message_chars: int | None = None) -> DataFrame:
+    """Rows of the run log: an empty message is NULL, a long one cut if asked, missing counts are 0."""
     aligned = align_to_schema(runs, RUNS, fill_text=False)
     return aligned.withColumns(
         {
             "records_read": F.coalesce("records_read", F.lit(0).cast("bigint")),
             "records_written": F.coalesce("records_written", F.lit(0).cast("bigint")),
-            "error_message": F.substring(filled(F.col("error_message")), 1, ERROR_MESSAGE_CHARS),
+            "error_message": cut(filled(F.col("error_message")), message_chars),
         }
     )
 

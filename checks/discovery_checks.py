@@ -23,7 +23,7 @@ AS_OF = datetime(2026, 1, 2, 3, 4, 5)
 
 
 def project_queries(spark: SparkSession, sf: str) -> DataFrame:
-    return ds.project_queries(fixture(spark, sf, "fx_projects"))
+    return ds.project_queries(fixture(spark, sf, "fx_projects"), 200)
 
 
 def term_index(spark: SparkSession, sf: str) -> DataFrame:
@@ -72,19 +72,31 @@ def discovery_outcome(spark: SparkSession, sf: str) -> DataFrame:
 def _payload(spark: SparkSession, sf: str) -> DataFrame:
     documents = fixture(spark, sf, "fx_documents")
     candidates = sel.candidates_per_project(fixture(spark, sf, "fx_candidates"), documents, TOP)
-    return cl.classifier_payload(fixture(spark, sf, "fx_projects"), candidates)
+    return cl.classifier_payload(fixture(spark, sf, "fx_projects"), candidates, 500)
 
 
 def classifier_payload(spark: SparkSession, sf: str) -> DataFrame:
     return _payload(spark, sf).withColumn("document_count", F.col("document_count").cast("bigint"))
 
 
+_NUMBER = "cast(500000 + ok as string)"
+EVIDENCE_TITLE = (
+    f"case pk % 7 when 0 then replace(title, {_NUMBER}, {_NUMBER} || '0')"
+    f" when 1 then replace(title, {_NUMBER}, 'Ab' || {_NUMBER}) else title end"
+)
+EVIDENCE_FOLDER = f"case pk % 7 when 2 then 'jobs/' || {_NUMBER} || '/final' else '' end"
+EVIDENCE_NUMBER = "case when cast(substr(project_id, 5) as bigint) % 3 = 0 then 'aB' || project_no else project_no end"
+
+
 def evidence_score(spark: SparkSession, sf: str) -> DataFrame:
+    """Titles with longer numbers, numbers with letters in either case, and numbers that only the folder states."""
     documents = fixture(spark, sf, "fx_documents")
-    links = sel.candidate_links(fixture(spark, sf, "fx_candidates"), documents)
-    pairs = links.join(documents.select("document_id", "title", "text_preview"), "document_id").join(
-        cl.project_facts(fixture(spark, sf, "fx_projects")), "project_id"
+    links = sel.candidate_links(fixture(spark, sf, "fx_candidates"), documents, 50)
+    described = documents.select(
+        "document_id", F.expr(EVIDENCE_TITLE).alias("title"), F.expr(EVIDENCE_FOLDER).alias("folder_path"), "text_preview"
     )
+    facts = cl.project_facts(fixture(spark, sf, "fx_projects")).withColumn("project_no", F.expr(EVIDENCE_NUMBER))
+    pairs = links.join(described, "document_id").join(facts, "project_id")
     return cl.evidence_score(pairs).select("project_id", "document_id", "decision", "confidence_score", "reason")
 
 
@@ -166,6 +178,7 @@ QUERIES = {
 }
 
 TERMS = r"list_filter(regexp_split_to_array(lower({0}), '[^\p{{L}}\p{{N}}]+'), lambda t: t <> '')"
+WORDS = r"' ' || trim(regexp_replace(lower({0}), '[^\p{{L}}\p{{N}}]+', ' ', 'g')) || ' '"
 PASSAGES = """list_sort(list_filter(list_transform(regexp_split_to_array(full_text, '{0}'), lambda p, nr: {{'minus':
  -len(list_distinct(list_intersect({1}, wanted))), 'nr': nr, 'content': trim(p, ' ')}}), lambda s: s.minus < 0))[1:3]"""
 
@@ -191,15 +204,18 @@ DEFINITIONS = NORMALIZE_DEFINITIONS | SELECTION_DEFINITIONS | {
     "ex_facts": """select project_id, project_no, project_name, clean_name, client_company, project_type, client_country, tags, description,
  coalesce(cast(start_date as varchar), '') || ' to ' || coalesce(cast(due_date as varchar), '') as period from fx_projects join ex_clean using (k)""",
     "ex_valid_replies": """select *, cast(substr(project_id, 5) as bigint) % 13 as kind from fx_replies""",
-    "ex_features": r"""select l.project_id, l.document_id, lower(d.title) as title, lower(d.title) || ' ' || lower(d.text_preview) as body, f.*
- exclude project_id, regexp_extract(lower(d.title), '^(\d{5,})_', 1) as lead_no
- from ex_candidate_links l join fx_documents d using (document_id) join ex_facts f on f.project_id = l.project_id where position <= 50""",
+    "ex_features": rf"""select project_id, document_id, lower(title) as title, {WORDS.format("title || ' ' || folder")} as name,
+ {WORDS.format("title || ' ' || folder || ' ' || text_preview")} as body, {WORDS.format('no')} as no, lower(no) as plain_no,
+ {WORDS.format('clean_name')} as clean, {WORDS.format('client_company')} as client, regexp_extract(lower(title), '^(\d{{5,}})_', 1) as lead_no
+ from (select l.project_id, l.document_id, {EVIDENCE_TITLE} as title, {EVIDENCE_FOLDER} as folder, d.text_preview,
+  f.clean_name, f.client_company, f.no from ex_candidate_links l join fx_documents d using (document_id)
+  join (select *, {EVIDENCE_NUMBER} as no from ex_facts) f on f.project_id = l.project_id where position <= 50)""",
     "ex_rules": r"""select *, case when regexp_matches(title, 'org[ _-]?chart|holiday|timesheet|employee[ _-]list|curriculum|(^|[_ ])(cv|hr)([_ .]|$)') then 1
- when contains(title, project_no) then 2 when lead_no <> '' and lead_no <> project_no then 3
- when starts_with(title, 'handover_') and not contains(body, lower(clean_name)) then 4
- when client_company <> '' and contains(body, lower(client_company)) and contains(body, lower(clean_name)) then 5
- when contains(body, project_no) then 6 when contains(body, lower(clean_name)) then 7
- when client_company <> '' and contains(body, lower(client_company)) then 8 else 9 end as rule from ex_features""",
+ when contains(name, no) then 2 when lead_no <> '' and lead_no <> plain_no then 3
+ when starts_with(title, 'handover_') and not contains(body, clean) then 4
+ when client <> '  ' and contains(body, client) and contains(body, clean) then 5
+ when contains(body, no) then 6 when contains(body, clean) then 7
+ when client <> '  ' and contains(body, client) then 8 else 9 end as rule from ex_features""",
     "ex_decided": """select project_id, document_id,
  ['reject', 'strong_match', 'reject', 'reject', 'strong_match', 'strong_match', 'possible_match', 'possible_match', 'reject'][rule] as decision,
  cast([0.05, 0.95, 0.10, 0.15, 0.90, 0.85, 0.80, 0.50, 0.20][rule] as double) as confidence_score,

@@ -99,6 +99,7 @@ def budgeted_enrichment(spark: SparkSession, sf: str) -> DataFrame:
         rows.filter("detail is not null").select("id", "detail"),
         rows.filter("related is not null").select("id", "related"),
         _companies(spark, sf),
+        budget=250,
         order="k",
     )
     return result.select(

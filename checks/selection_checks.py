@@ -30,7 +30,7 @@ def _day(name: str):
 
 
 def active_projects(spark: SparkSession, sf: str) -> DataFrame:
-    return sel.active_projects(_projects(spark, sf)).select("project_id", "project_no", "status", _day("start_date"))
+    return sel.active_projects(_projects(spark, sf), 100).select("project_id", "project_no", "status", _day("start_date"))
 
 
 def all_projects(spark: SparkSession, sf: str) -> DataFrame:
@@ -54,7 +54,7 @@ def candidates_per_project(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def mapped_project_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return sel.mapped_project_counts(_map(spark, sf))
+    return sel.mapped_project_counts(_map(spark, sf), 100)
 
 
 def documents_per_project(spark: SparkSession, sf: str) -> DataFrame:
@@ -72,7 +72,7 @@ def recent_projects(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def recent_documents(spark: SparkSession, sf: str) -> DataFrame:
-    return rp.recent_documents(_documents(spark, sf), 20)
+    return rp.recent_documents(_documents(spark, sf), 20, 100)
 
 
 def recent_mappings(spark: SparkSession, sf: str) -> DataFrame:

@@ -82,7 +82,7 @@ def search_result_json(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def search_results_parse(spark: SparkSession, sf: str) -> DataFrame:
-    return search_results.parse_search_results(search_result_json(spark, sf))
+    return search_results.parse_search_results(search_result_json(spark, sf), preview_chars=1000, text_chars=12_000)
 
 
 def align_schema(spark: SparkSession, sf: str) -> DataFrame:
@@ -175,7 +175,7 @@ def append_mappings(spark: SparkSession, sf: str) -> DataFrame:
 
 def run_log_append(spark: SparkSession, sf: str) -> DataFrame:
     runs = fixture(spark, sf, "fx_runs").withColumn("finished_at", F.col("started_at"))
-    return tables.run_log(runs).select(
+    return tables.run_log(runs, 1000).select(
         "run_id", "job_name", "status", "records_read", "records_written", "error_message", moment("started_at")
     )
 

@@ -19,6 +19,7 @@ from casebook.plans.steps import Dimensions, WikiSettings, corpus_search, projec
 from casebook.sources.landed import read_pages
 from casebook.streaming.ingest import newest_version, start_ingest
 from checks.discovery_checks import DEFINITIONS as DISCOVERY_DEFINITIONS
+from checks.discovery_checks import WORDS
 from checks.fixtures import fixture
 from checks.normalize_checks import _companies, _contacts, _users
 from checks.records import landed_pages
@@ -28,7 +29,7 @@ AS_OF = datetime(2026, 1, 2, 3, 4, 5)
 # Small enough to reach every branch: the stand-ins have at most 13 documents per project.
 CAP, FALLBACK, MINIMUM, SOURCES = 3, 2, 2, 5
 CHUNK_LIMIT = 700
-SETTINGS = WikiSettings(SOURCES, CAP, FALLBACK, MINIMUM, CHUNK_LIMIT)
+SETTINGS = WikiSettings(SOURCES, CAP, FALLBACK, MINIMUM, CHUNK_LIMIT, content_chars=18_000)
 
 
 def _documents(spark: SparkSession, sf: str) -> DataFrame:
@@ -47,7 +48,7 @@ def _described(spark: SparkSession, sf: str) -> DataFrame:
 
 def _sources(spark: SparkSession, sf: str) -> DataFrame:
     selected = ws.select_sources(_described(spark, sf), CAP, FALLBACK, MINIMUM)
-    return ws.source_rows(selected, _documents(spark, sf))
+    return ws.source_rows(selected, _documents(spark, sf), 18_000)
 
 
 def _lists(spark: SparkSession, sf: str) -> DataFrame:
@@ -127,8 +128,11 @@ def replace_sources_section(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def linkify_citations(spark: SparkSession, sf: str) -> DataFrame:
-    """Single and grouped citations, linked and parenthesised ones, and numbers without a source."""
-    text = F.lit("See [1] and [1, 2],[02][99]; kept [1](u), ([2]), [x].")
+    """Single and grouped citations, linked and parenthesised ones, numbers without a source and of any length."""
+    text = F.concat(
+        F.lit("See [1] and [1, 2],[02][99]; kept [1](u), ([2]), [x]. Of "), "project_id",
+        F.lit(": [99999999999999999999], [1, 99999999999999999999]"),
+    )
     return _lists(spark, sf).select(
         "project_id", pg.linkify_citations(text, pg.source_links(F.col("sources"))).alias("linked")
     )
@@ -333,7 +337,7 @@ def page_definitions(prefix: str, facts: str, links: str) -> dict[str, str]:
         f"{p}_pages": f"""select f.*, m.markdown, i.ids, s.shown, cast(c.chunk_count as bigint) as chunk_count, cast(c.total_bytes as bigint) as total_bytes,
  case when i.ids is null then 'no_sources' when c.chunk_count > 1 then 'generated_chunked' else 'generated' end as wiki_status
  from {facts} f join {p}_final m on m.project_id = f.project_id join {p}_chunks c on c.project_id = f.project_id
- left join (select project_id, string_agg(document_id, ',' order by position) as ids from {links} where position <= {SOURCES} group by project_id) i on i.project_id = f.project_id
+ left join (select project_id, string_agg(document_id, ',' order by position) as ids from {links} group by project_id) i on i.project_id = f.project_id
  left join (select project_id, string_agg(concat_ws(' ', index, type, url), ';' order by index) as shown from {p}_sources group by project_id) s on s.project_id = f.project_id""",
     }
 
@@ -358,15 +362,16 @@ DEFINITIONS = DISCOVERY_DEFINITIONS | {
  from ex_normalized n join ex_client_direct r on r.k = n.k left join ex_landed_team t on t.k = n.k where n.k <> 0 and r.status is not null""",
     "ex_landed_team": """select k, string_agg(name, ', ' order by ord) as team from
  (select k, trim(name) as name, min(ord) as ord from ex_mentions where trim(name) <> '' and ord <> 1000002 group by k, trim(name)) group by k""",
-    "ex_run_pairs": r"""select p.project_id, d.document_id, row_number() over (partition by p.project_id order by d.pk, d.document_id) as rank, d.title as shown_title,
- lower(d.title) as title, lower(d.title) || ' ' || lower(d.text_preview) as body, p.project_no, c.clean_name, p.client_company, p.status, p.k,
- regexp_extract(lower(d.title), '^(\d{5,})_', 1) as lead_no
+    "ex_run_pairs": rf"""select p.project_id, d.document_id, row_number() over (partition by p.project_id order by d.pk, d.document_id) as rank, d.title as shown_title,
+ lower(d.title) as title, {WORDS.format('d.title')} as name, {WORDS.format("d.title || ' ' || d.text_preview")} as body,
+ {WORDS.format('p.project_no')} as no, {WORDS.format('c.clean_name')} as clean, {WORDS.format('p.client_company')} as client, p.project_no, p.status, p.k,
+ regexp_extract(lower(d.title), '^(\d{{5,}})_', 1) as lead_no
  from ex_landed p join ex_clean c on c.k = p.k join fx_documents d on cast(500000 + d.ok as varchar) = p.project_no""",
     "ex_run_decided": r"""select project_id, document_id, status, rank, case when regexp_matches(title, 'org[ _-]?chart|holiday|timesheet|employee[ _-]list|curriculum|(^|[_ ])(cv|hr)([_ .]|$)') then 0.05
- when contains(title, project_no) then 0.95 when lead_no <> '' and lead_no <> project_no then 0.10
- when starts_with(title, 'handover_') and not contains(body, lower(clean_name)) then 0.15
- when client_company <> '' and contains(body, lower(client_company)) and contains(body, lower(clean_name)) then 0.90
- when contains(body, project_no) then 0.85 when contains(body, lower(clean_name)) then 0.80 else 0.20 end as confidence_score from ex_run_pairs""",
+ when contains(name, no) then 0.95 when lead_no <> '' and lead_no <> project_no then 0.10
+ when starts_with(title, 'handover_') and not contains(body, clean) then 0.15
+ when client <> '  ' and contains(body, client) and contains(body, clean) then 0.90
+ when contains(body, no) then 0.85 when contains(body, clean) then 0.80 else 0.20 end as confidence_score from ex_run_pairs""",
     "ex_run_links": """select project_id, document_id, confidence_score, status, row_number() over (partition by project_id order by confidence_score desc, document_id) as position
  from ex_run_decided where confidence_score >= 0.75""",
     "ex_open_links": f"""select * from ex_run_links where lower(status) not in ('done', 'completed', 'cancelled', 'closed', 'future')""",
@@ -401,7 +406,8 @@ ORACLES = {
  from ex_wiki_background b join ex_wiki_facts f on f.project_id = b.project_id where b.project_id in (select project_id from ex_wiki_sources)""",
     "replace_sources_section": """select b.project_id, head || notes || chr(10) || chr(10) || source_table as markdown
  from ex_wiki_bodies b join ex_wiki_tables t on t.project_id = b.project_id""",
-    "linkify_citations": """select project_id, 'See [1](' || one || ') and [1](' || one || '), [2](' || two || '),[2](' || two || ')[99](#source-99); kept [1](u), ([2]), [x].' as linked from
+    "linkify_citations": """select project_id, 'See [1](' || one || ') and [1](' || one || '), [2](' || two || '),[2](' || two || ')[99](#source-99); kept [1](u), ([2]), [x]. Of ' || project_id ||
+ ': [99999999999999999999](#source-99999999999999999999), [1](' || one || '), [99999999999999999999](#source-99999999999999999999)' as linked from
  (select project_id, coalesce(nullif(max(url) filter (index = 1), ''), '#source-1') as one, coalesce(nullif(max(url) filter (index = 2), ''), '#source-2') as two
   from ex_wiki_sources group by project_id)""",
     "finalize_pages": "select project_id, markdown from ex_wiki_final where project_id in (select project_id from ex_wiki_bodies)",

@@ -190,7 +190,7 @@ def test_search_result_edges(spark):
     assert parsed(spark, {"structData": {"title": "t"}}) == []
     row = parsed(spark, {"name": "HTTPS://x/y", "derivedStructData": {"extractiveAnswers": [{"pageContent": "p"}], "extractiveSegments": [{"content": "s" * 13000}]}})[0]
     assert (row.document_id, row.title, row.source_url, row.url) == ("HTTPS://x/y",) * 4
-    assert row.full_text.startswith("p\n\nsss") and len(row.full_text) == 12000 and len(row.text_preview) == 1000
+    assert row.full_text.startswith("p\n\nsss") and len(row.full_text) == 13003 and len(row.text_preview) == 13003
     row = parsed(spark, {"id": "1", "name": "projects/1", "structData": {"uri": "gs://a"}})[0]
     assert (row.url, row.source_url, row.text_preview) == ("gs://a", "", "")
 
@@ -245,7 +245,8 @@ def test_replies(spark):
 def test_active_projects_order(spark):
     rows = [("a", None, date(2024, 1, 1)), ("b", "DONE", date(2024, 1, 1)), ("c", "Open", None), ("d", "open", date(2023, 1, 1)), ("e", "x", date(2023, 1, 1))]
     df = spark.createDataFrame(rows, "project_id string, status string, start_date date")
-    assert [r.project_id for r in sel.active_projects(df).collect()] == ["d", "e", "c"]
+    assert [r.project_id for r in sel.active_projects(df, 9).collect()] == ["d", "e", "c"]
+    assert {r.project_id for r in sel.active_projects(df).collect()} == {"c", "d", "e"}
     assert [r.project_id for r in sel.all_projects(df, 2).collect()] == ["a", "b"]
 
 
@@ -344,7 +345,7 @@ def test_replace_section(spark):
 
 
 def test_citations(spark):
-    links = F.map_from_arrays(F.array(F.lit(1).cast("bigint"), F.lit(2).cast("bigint")), F.array(F.lit("u"), F.lit("")))
+    links = F.map_from_arrays(F.array(F.lit("1"), F.lit("2")), F.array(F.lit("u"), F.lit("")))
 
     def linked(text):
         return one(spark, text, md.linkify_citations(F.col("v"), links))
@@ -354,6 +355,10 @@ def test_citations(spark):
     assert linked("[1](u) ([1]) [99] [a]") == "[1](u) ([1]) [99](#source-99) [a]"
     assert linked("[1][2]") == "[1](u)[2](#source-2)"
     assert linked("") == ""
+    assert linked("[001] [0]") == "[1](u) [0](#source-0)"
+    assert linked("[99999999999999999999]") == "[99999999999999999999](#source-99999999999999999999)"
+    assert linked("[1, 99999999999999999999]") == "[1](u), [99999999999999999999](#source-99999999999999999999)"
+    assert linked("[١]") == "[1](u)"
 
 
 @pytest.mark.parametrize(
@@ -368,9 +373,17 @@ def test_chunks(spark, text, limit, expected):
 
 
 def test_chunk_limit_below_one_character(spark):
-    assert "".join(one(spark, "aé", md.utf8_chunks(F.col("v"), 1))) == "a"
     with pytest.raises(ValueError):
-        md.utf8_chunks(F.col("v"), 0)
+        md.utf8_chunks(F.col("v"), 3)
+
+
+def test_chunks_of_mixed_text(spark):
+    text = "aé😀ßx漢" * 40
+    for limit in (4, 5, 7, 11, 64):
+        pieces = one(spark, text, md.utf8_chunks(F.col("v"), limit))
+        assert "".join(pieces) == text
+        assert max(len(p.encode()) for p in pieces) <= limit
+        assert all(len((a + b[0]).encode()) > limit for a, b in zip(pieces, pieces[1:]))
 
 
 def test_rewritten_page_loses_its_old_chunks(spark):
