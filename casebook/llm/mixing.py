@@ -86,7 +86,7 @@ def thresholds(sized: DataFrame, targets: DataFrame, bits: int = 10, few: int =
         of = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
         found = (
             counts.withColumnRenamed("source", "s")
-            .join(bounds, F.col("s").eqNullSafe(F.col("source")))
+            .join(bounds.select("source", "rest", "below"), F.col("s").eqNullSafe(F.col("source")))
             .withColumn("upto", F.col("below") + F.sum("words").over(of))
             .where(F.col("upto") >= F.col("rest"))
             .groupBy("source")

@@ -141,7 +141,7 @@ def readings(token: str, model: LetterModel) -> tuple[str, ...]:
         return (core,)
     plain = tuple(_WORD.findall(core))
     found = set(plain)
-    pieces = [x for x in _APART.split(core) if x]
+    pieces = [x for x in _APART.split(core.strip("!|+(")) if x]
     if len(pieces) > 2 and all(len(x) == 1 for x in pieces):
         pieces = ["".join(pieces)]
     for piece in pieces:
