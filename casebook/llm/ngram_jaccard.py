@@ -79,8 +79,8 @@ def _sign(k: int, threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk = (TaskContext.get().partitionId() + 1) << 24
         for whole in batches:
-            for at in range(0, whole.num_rows, 20000):
-                batch = whole.slice(at, 20000)
+            for at in range(0, whole.num_rows, 4000):
+                batch = whole.slice(at, 4000)
                 chunk += 1
                 base = chunk << 16
                 ids = batch.column(0)
@@ -100,7 +100,9 @@ def _sign(k: int, threshold: float):
                 yield _rows(node=nodes, doc_id=ids, n_shingles=sizes)
                 if not keys:
                     continue
-                packed = np.sort(np.concatenate(keys))
+                packed = np.concatenate(keys)
+                del keys, texts
+                packed.sort()
                 head = np.flatnonzero(np.diff(packed >> shift, prepend=~packed[:1] >> shift))
                 firsts = np.repeat(packed[head], np.diff(head, append=len(packed)))
                 tied = np.unique(((firsts & np.uint64(0xFFFF)) << shift) | (packed & np.uint64(0xFFFF)))
