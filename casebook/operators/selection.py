@@ -39,7 +39,8 @@ def _best_links(links: DataFrame, documents: DataFrame, best, ties: list[str], k
     Both `row_number` filters become group limits that cut every group before its shuffle, which
     keeps a hot project or a hot pair to k rows (or one) per input partition.
     """
-    existing = links.join(documents.select("document_id"), "document_id", "left_semi")
+    # An inner join lets few links be the small side; copies of a document id would fall to `nth = 1`.
+    existing = links.join(documents.select("document_id"), "document_id")
     per_pair = Window.partitionBy("project_id", "document_id").orderBy(best, *ties)
     per_project = Window.partitionBy("project_id").orderBy(best, "document_id")
     ranked = (

@@ -7,23 +7,26 @@ from dataclasses import dataclass, field, replace
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from casebook.operators.pages import replace_chunks, replace_pages, stored_chunks, stored_pages
 from casebook.operators.selection import mapped_project_counts, projects_for_processing
 from casebook.operators.upsert import assert_unique, upsert_candidates, upsert_documents, upsert_projects
-from casebook.sources.durable import settle
+from casebook.sources.durable import settle, settle_counted
 from casebook.plans.steps import Scorer, Search, WikiSettings, Writer, classify, discover, write_pages
 from casebook.schemas import (
     CANDIDATES,
     CHUNKS,
     DOCUMENT_MAP,
     DOCUMENTS,
+    ERRORS,
     JOB_NAMES,
     PAGES,
     PROJECTS,
     RUNS,
 )
-from casebook.sources.tables import project_by_id, run_entry
+from casebook.sources.tables import align_to_schema, project_by_id, run_entry
 
 SCHEMAS = {
     "projects": PROJECTS,
@@ -33,8 +36,10 @@ SCHEMAS = {
     "pages": PAGES,
     "chunks": CHUNKS,
     "runs": RUNS,
+    "errors": ERRORS,
 }
 Tables = dict[str, DataFrame]
+StepResult = tuple[Tables, int, int]
 
 
 def empty_tables(spark: SparkSession) -> Tables:
@@ -43,6 +48,11 @@ def empty_tables(spark: SparkSession) -> Tables:
 
 @dataclass(frozen=True)
 class RunSettings:
+    """What a run works on. Limits are off unless stated; `strict` ends a step at its first error row.
+
+    `clock` tells when steps begin and end.
+    """
+
     run_id: str
     as_of: datetime
     mode: str = "active"
@@ -51,52 +61,86 @@ class RunSettings:
     wiki: WikiSettings = field(default_factory=WikiSettings)
     scorer: Scorer | None = None
     writer: Writer | None = None
+    strict: bool = False
+    clock: Callable[[], datetime] = datetime.now
+    query_description_chars: int | None = None
+    classifier_preview_chars: int | None = None
+    error_message_chars: int | None = None
+
+
+class ErrorsFound(RuntimeError):
+    """A strict run met input or replies that it cannot use; `tables` holds the errors."""
+
+    def __init__(self, job: str, count: int, tables: Tables):
+        super().__init__(f"{job}: {count} errors")
+        self.tables = tables
+
+
+def _noted(tables: Tables, job: str, errors: DataFrame | None, settings: RunSettings) -> Tables:
+    """Tables with the error rows (key, error, record) of a step; in strict mode any of them ends the step."""
+    if errors is None:
+        return tables
+    rows = errors.select(
+        F.lit(settings.run_id).alias("run_id"), F.lit(job).alias("job_name"), *[F.col(c).cast("string") for c in ("key", "error", "record")]
+    )
+    rows, count = settle_counted(rows, "errors")
+    noted = tables | {"errors": tables["errors"].unionByName(rows)}
+    if count and settings.strict:
+        raise ErrorsFound(job, count, noted)
+    return noted
 
 
-def sync_projects(tables: Tables, rows: DataFrame, settings: RunSettings) -> tuple[Tables, int, int]:
-    rows = settle(rows, "project-rows")
+def sync_projects(tables: Tables, rows: DataFrame, settings: RunSettings, errors: DataFrame | None = None) -> StepResult:
+    tables = _noted(tables, JOB_NAMES[0], errors, settings)
+    rows, count = settle_counted(rows, "project-rows")
     assert_unique(rows, ["project_id"])
     merged = settle(upsert_projects(tables["projects"], rows, settings.as_of), "projects")
-    count = rows.count()
     return tables | {"projects": merged}, count, count
 
 
-def sync_documents(tables: Tables, search: Search, settings: RunSettings) -> tuple[Tables, int, int]:
-    chosen = settle(
-        projects_for_processing(tables["projects"], settings.mode, settings.project_limit), "projects-in-turn"
-    )
-    documents, candidates = discover(chosen, search)
-    candidates = settle(candidates, "found-candidates")
+def sync_documents(tables: Tables, search: Search, settings: RunSettings) -> StepResult:
+    turn = projects_for_processing(tables["projects"], settings.mode, settings.project_limit)
+    chosen, read = settle_counted(turn, "projects-in-turn")
+    documents, candidates = discover(chosen, search, settings.query_description_chars)
+    candidates, found = settle_counted(candidates, "found-candidates")
+    documents = settle(documents, "found-documents")
+    assert_unique(documents, ["document_id"])
     merged = {
         "documents": settle(upsert_documents(tables["documents"], documents, settings.as_of), "documents"),
         "candidates": settle(
             upsert_candidates(tables["candidates"], candidates, settings.run_id, settings.as_of, ("query_ord",)), "candidates"
         ),
     }
-    return tables | merged, chosen.count(), candidates.count()
+    return tables | merged, read, found
 
 
-def sync_mappings(tables: Tables, settings: RunSettings) -> tuple[Tables, int, int]:
+def sync_mappings(tables: Tables, settings: RunSettings) -> StepResult:
+    """Reads what the classifier is given: at most k candidates a project, with existing documents."""
     chosen = projects_for_processing(tables["projects"], settings.mode, settings.project_limit)
-    candidates = tables["candidates"].join(chosen.select("project_id"), "project_id", "left_semi")
-    mappings = settle(
-        classify(
-            chosen, candidates, tables["documents"], settings.run_id, settings.as_of,
-            settings.candidate_limit, settings.scorer,
-        ),
-        "mappings",
+    found, errors, asked = classify(
+        chosen, tables["candidates"], tables["documents"], settings.run_id, settings.as_of,
+        settings.candidate_limit, settings.scorer, preview_chars=settings.classifier_preview_chars,
     )
-    return tables | {"document_map": tables["document_map"].unionByName(mappings)}, candidates.count(), mappings.count()
+    mappings, written = settle_counted(found, "mappings")
+    tables = _noted(tables, JOB_NAMES[2], errors, settings)
+    return tables | {"document_map": tables["document_map"].unionByName(mappings)}, asked.count(), written
 
 
-def sync_pages(tables: Tables, settings: RunSettings) -> tuple[Tables, int, int]:
-    most_mapped = mapped_project_counts(tables["document_map"], settings.project_limit)
-    chosen = settle(tables["projects"].join(most_mapped.select("project_id"), "project_id", "left_semi"), "page-projects")
-    return _store(tables, chosen, settings)
+def sync_pages(tables: Tables, settings: RunSettings) -> StepResult:
+    """Pages of the mapped projects; those that are no project are error rows."""
+    most_mapped = settle(mapped_project_counts(tables["document_map"], settings.project_limit), "mapped-projects")
+    unknown = most_mapped.join(tables["projects"], "project_id", "left_anti").select(
+        F.col("project_id").alias("key"), F.lit("mapped project not found").alias("error"), F.lit(None).alias("record")
+    )
+    tables = _noted(tables, JOB_NAMES[3], unknown, settings)
+    own = tables["projects"].join(most_mapped.select("project_id"), "project_id", "left_semi")
+    chosen, _ = settle_counted(own, "page-projects")
+    state, _, written = _store(tables, chosen, settings)
+    return state, most_mapped.count(), written
 
 
-def _store(tables: Tables, chosen: DataFrame, settings: RunSettings) -> tuple[Tables, int, int]:
-    written = settle(
+def _store(tables: Tables, chosen: DataFrame, settings: RunSettings) -> StepResult:
+    written, count = settle_counted(
         write_pages(chosen, tables["document_map"], tables["documents"], settings.as_of, settings.wiki, settings.writer),
         "written-pages",
     )
@@ -105,32 +149,52 @@ def _store(tables: Tables, chosen: DataFrame, settings: RunSettings) -> tuple[Ta
         "pages": settle(replace_pages(tables["pages"], pages), "pages"),
         "chunks": settle(replace_chunks(tables["chunks"], pages, chunks), "chunks"),
     }
-    count = written.count()
-    return tables | stored, chosen.count(), count
+    return tables | stored, count, count
 
 
-def full_sync(spark: SparkSession, tables: Tables, project_rows: DataFrame, search: Search, settings: RunSettings) -> Tables:
+def full_sync(
+    spark: SparkSession, tables: Tables, project_rows: DataFrame, search: Search, settings: RunSettings,
+    scan_errors: DataFrame | None = None,
+) -> Tables:
     """Run the four steps in order; every step leaves a run-log row, a failing one ends the run.
 
-    Between the steps the tables are written to the shared folder, so each step starts from files
-    and no plan grows over the run.
+    Tables of older versions are read under the current schemas. What a step cannot use (`scan_errors` of the landed
+    input, replies, projects) goes to the errors table, is counted in the step's message, and ends the step in strict mode.
+    Between the steps the tables are written to the shared folder, so each step starts from files and no plan grows
+    over the run.
     """
-    steps: list[tuple[str, Callable[[Tables], tuple[Tables, int, int]]]] = [
-        (JOB_NAMES[0], lambda t: sync_projects(t, project_rows, settings)),
+    steps: list[tuple[str, Callable[[Tables], StepResult]]] = [
+        (JOB_NAMES[0], lambda t: sync_projects(t, project_rows, settings, scan_errors)),
         (JOB_NAMES[1], lambda t: sync_documents(t, search, settings)),
         (JOB_NAMES[2], lambda t: sync_mappings(t, settings)),
         (JOB_NAMES[3], lambda t: sync_pages(t, settings)),
     ]
-    state = tables
+    state = {name: _aligned(tables.get(name), spark, schema) for name, schema in SCHEMAS.items()}
+    began = settings.clock()
     for job, step in steps:
+        start = settings.clock()
         try:
             state, read, written = step(state)
         except Exception as error:
-            state = _logged(spark, state, job, settings, "error", message=str(error))
-            state = _logged(spark, state, JOB_NAMES[4], settings, "error", message=f"Step {job} failed: {error}")
+            state = error.tables if isinstance(error, ErrorsFound) else state
+            state = _logged(spark, state, job, settings, start, "error", message=str(error))
+            state = _logged(spark, state, JOB_NAMES[4], settings, began, "error", message=f"Step {job} failed: {error}")
             raise StepFailed(job, state) from error
-        state = _logged(spark, state, job, settings, "success", read, written)
-    return _logged(spark, state, JOB_NAMES[4], settings, "success")
+        state = _logged(spark, state, job, settings, start, "success", read, written, _error_count(state, job, settings))
+    return _logged(spark, state, JOB_NAMES[4], settings, began, "success")
+
+
+def _aligned(table: DataFrame | None, spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """A stored table under the current schema; a missing one is empty."""
+    if table is None:
+        return spark.createDataFrame([], schema)
+    return table if table.schema.names == schema.names else align_to_schema(table, schema, fill_text=False)
+
+
+def _error_count(tables: Tables, job: str, settings: RunSettings) -> str | None:
+    own = (F.col("run_id") == settings.run_id) & (F.col("job_name") == job)
+    count = tables["errors"].filter(own).count()
+    return f"{count} errors" if count else None
 
 
 class StepFailed(RuntimeError):
@@ -143,16 +207,21 @@ class StepFailed(RuntimeError):
 
 
 def _logged(
-    spark: SparkSession, tables: Tables, job: str, settings: RunSettings, status: str,
+    spark: SparkSession, tables: Tables, job: str, settings: RunSettings, start: datetime, status: str,
     read: int = 0, written: int = 0, message: str | None = None,
 ) -> Tables:
-    entry = run_entry(spark, job, settings.run_id, settings.as_of, settings.as_of, status, read, written, message)
+    entry = run_entry(
+        spark, job, settings.run_id, start, settings.clock(), status, read, written, message, settings.error_message_chars
+    )
     return tables | {"runs": tables["runs"].unionByName(entry)}
 
 
-def historical_sync(spark: SparkSession, tables: Tables, project_rows: DataFrame, search: Search, settings: RunSettings) -> Tables:
+def historical_sync(
+    spark: SparkSession, tables: Tables, project_rows: DataFrame, search: Search, settings: RunSettings,
+    scan_errors: DataFrame | None = None,
+) -> Tables:
     """The same run over all projects, closed ones included."""
-    return full_sync(spark, tables, project_rows, search, replace(settings, mode="all"))
+    return full_sync(spark, tables, project_rows, search, replace(settings, mode="all"), scan_errors)
 
 
 def single_project(tables: Tables, project_id: str, settings: RunSettings) -> DataFrame:

@@ -20,13 +20,17 @@ from casebook.operators.classify import (
     match_rows,
     parse_replies,
     project_facts,
+    reply_errors,
+    unasked_matches,
 )
 from casebook.operators.discovery import (
     discover_candidates,
     discover_documents,
     hits_of_projects,
     project_queries,
+    ranked_hits,
     search_requests,
+    with_results,
 )
 from casebook.operators.normalize import budgeted_enrichment, normalize_projects
 from casebook.operators.pages import (
@@ -38,7 +42,7 @@ from casebook.operators.pages import (
     wiki_prompts,
 )
 from casebook.operators.retrieval import corpus_stats, extractive_passages, retrieve_top_k, term_index
-from casebook.operators.selection import candidate_links, candidates_per_project, mapped_links
+from casebook.operators.selection import candidate_links, mapped_links
 from casebook.operators.wiki_sources import named_sources, select_sources, source_lists, source_rows
 from casebook.sources.durable import settle
 from casebook.schemas import (
@@ -136,18 +140,26 @@ def corpus_search(
     return search
 
 
-def discover(projects: DataFrame, search: Search) -> tuple[DataFrame, DataFrame]:
+def discover(projects: DataFrame, search: Search, description_chars: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Step 2: (document rows, candidate rows) found for the given projects.
 
+    Hits are ranked and chosen by their keys; texts of the results join the chosen ones.
+
     Projects are processed by start date, newest first; `project_ord` says so as a sort key.
     """
-    queries = project_queries(projects)
-    hits = hits_of_projects(queries, search(search_requests(queries)))
+    queries = project_queries(projects, description_chars)
+    results = settle(search(search_requests(queries)), "search-results")
+    hits = hits_of_projects(queries, results.select("query_id", "result_pos", "document_id"))
     turn = F.struct(
         F.when(F.col("start_date").isNull(), 1).otherwise(0), -F.unix_date("start_date"), F.col("project_id")
     ).alias("project_ord")
-    ordered = settle(hits.join(projects.select("project_id", turn), "project_id"), "project-hits")
-    return discover_documents(ordered), discover_candidates(ordered)
+    ranked = settle(ranked_hits(hits.join(projects.select("project_id", turn), "project_id")), "ranked-hits")
+    described = [c for c in results.columns if c not in ("query_id", "result_pos", "document_id")]
+    shown = [c for c in ("title", "url", "source_url", "text_preview") if c in described]
+    return (
+        with_results(discover_documents(ranked), results, described),
+        with_results(discover_candidates(ranked), results, shown),
+    )
 
 
 def classify(
@@ -159,18 +171,33 @@ def classify(
     k: int | None = None,
     scorer: Scorer | None = None,
     method: str = "evidence_rules",
-) -> DataFrame:
-    """Step 3: rows for the document map, by the native rules or a user-supplied batch scorer."""
+    preview_chars: int | None = None,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Step 3: rows for the document map, by the native rules or a user-supplied batch scorer.
+
+    Also returns errors (key, error, record): replies that cannot be read, scores that are no number, matches of documents
+    nobody asked about; and the (project_id, document_id) that were decided on.
+    """
+    links = settle(candidate_links(candidates.join(projects.select("project_id"), "project_id", "left_semi"), documents, k), "asked")
+    asked = links.select("project_id", "document_id")
     if scorer is None:
-        links = candidate_links(candidates, documents, k)
         described = documents.select("document_id", "title", "folder_path", "text_preview")
         pairs = links.join(described, "document_id").join(project_facts(projects), "project_id")
         matches = evidence_score(pairs).withColumn("evidence", F.lit(None).cast("string"))
+        errors = asked.limit(0).select(*[F.lit("").alias(c) for c in ("key", "error", "record")])
     else:
-        own = candidates.join(projects.select("project_id"), "project_id", "left_semi")
-        replies = batch_model_replies(classifier_payload(projects, candidates_per_project(own, documents, k)), scorer)
-        matches = match_rows(parse_replies(replies))
-    return mapping_rows(accept_matches(matches), method, run_id, as_of)
+        payload = classifier_payload(projects, links.join(documents, "document_id"), preview_chars)
+        replies = settle(batch_model_replies(payload, scorer), "replies")
+        parsed = parse_replies(replies)
+        matches = match_rows(parsed)
+        unread = reply_errors(parsed, matches).join(replies, "project_id").select(
+            F.col("project_id").alias("key"), "error", F.col("reply").alias("record")
+        )
+        unasked = unasked_matches(matches, asked).select(
+            F.col("project_id").alias("key"), F.lit("document was not asked about").alias("error"), F.col("document_id").alias("record")
+        )
+        errors = unread.unionByName(unasked)
+    return mapping_rows(accept_matches(matches), method, run_id, as_of), errors, asked
 
 
 def write_pages(

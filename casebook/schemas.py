@@ -59,6 +59,8 @@ RUNS = T.StructType(
     + _fields(TEXT, "error_message")
 )
 
+ERRORS = T.StructType(_fields(TEXT, "run_id job_name key error record"))
+
 SOURCE_ENTRY = T.StructType(_fields(INT, "index") + _fields(TEXT, "title document_id type url"))
 
 PAGES = T.StructType(

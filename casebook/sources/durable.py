@@ -6,7 +6,8 @@ import functools
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 @functools.cache
@@ -28,6 +29,13 @@ def new_place(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/casebook/{name}-{uuid.uuid4().hex}"
 
 
+def settle_counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """`settle`, and the number of rows, counted while they are written."""
+    seen = Observation(name)
+    written = settle(df.observe(seen, F.count(F.lit(1)).alias("rows")), name)
+    return written, int(seen.get["rows"])
+
+
 def settle(df: DataFrame, name: str) -> DataFrame:
     """Write a step's result once and go on from the written table.
 

@@ -32,6 +32,17 @@ def cut(text: Column, chars: int | None) -> Column:
     return text if chars is None else F.substring(text, 1, chars)
 
 
+def search_result_errors(results: DataFrame, json_column: str = "result") -> DataFrame:
+    """Results that `parse_search_results` leaves out, as rows (key, error, record)."""
+    doc = F.from_json(json_column, SEARCH_RESULT)["document"]
+    readable = F.coalesce(F.schema_of_variant(F.try_parse_json(json_column)).startswith("OBJECT"), F.lit(False))
+    unnamed = first_filled(doc["id"], doc["name"]) == ""
+    error = F.when(~readable, "unreadable result").when(F.coalesce(unnamed, F.lit(True)), "result without id and name")
+    return results.select(F.lit("search result").alias("key"), error.alias("error"), F.col(json_column).alias("record")).filter(
+        "error is not null"
+    )
+
+
 def parse_search_results(
     results: DataFrame, json_column: str = "result", preview_chars: int | None = None, text_chars: int | None = None
 ) -> DataFrame:

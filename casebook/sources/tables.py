@@ -68,7 +68,8 @@ def run_entry(
     records_read: int = 0,
     records_written: int = 0,
     error_message: str | None = None,
+    message_chars: int | None = None,
 ) -> DataFrame:
     """The one run-log row of a step."""
     row = (run_id, job_name, started_at, finished_at, status, records_read, records_written, error_message)
-    return run_log(spark.createDataFrame([row], RUNS))
+    return run_log(spark.createDataFrame([row], RUNS), message_chars)

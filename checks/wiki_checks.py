@@ -16,7 +16,8 @@ from casebook.operators.normalize import normalize_projects
 from casebook.plans import full_sync as runs
 from casebook.sources.durable import new_place
 from casebook.plans.steps import Dimensions, WikiSettings, corpus_search, project_rows, write_pages
-from casebook.sources.landed import read_pages
+from casebook.sources.landed import read_pages, scan_pages
+from casebook.sources.search_results import search_result_errors
 from casebook.streaming.ingest import newest_version, start_ingest
 from checks.discovery_checks import DEFINITIONS as DISCOVERY_DEFINITIONS
 from checks.discovery_checks import WORDS
@@ -176,13 +177,50 @@ def wiki_batch(spark: SparkSession, sf: str) -> DataFrame:
 # --- whole runs -------------------------------------------------------------------------------
 
 
-def _project_rows(spark: SparkSession, sf: str) -> DataFrame:
-    place = new_place(spark, "landing")
-    landed_pages(spark, sf, place)
+def _project_rows(spark: SparkSession, sf: str, place: str | None = None) -> DataFrame:
+    if place is None:
+        place = new_place(spark, "landing")
+        landed_pages(spark, sf, place)
     dimensions = Dimensions(_users(spark, sf), _companies(spark, sf), _contacts(spark, sf))
     return project_rows(read_pages(spark, place), STATUSES, dimensions, prefix="prj_")
 
 
+def _partly_broken_pages(spark: SparkSession, sf: str) -> str:
+    """Landed pages, and a line that ends early for every fiftieth project."""
+    place = new_place(spark, "landing")
+    landed_pages(spark, sf, place)
+    lines = fixture(spark, sf, "fx_projects").filter("k % 50 = 0").select(F.concat(F.lit('{"page":'), F.col("k").cast("string")).alias("value"))
+    lines.write.mode("append").text(place)
+    return place
+
+
+def scan_errors(spark: SparkSession, sf: str) -> DataFrame:
+    """Landed lines and search results that cannot be read."""
+    results = _documents(spark, sf).select(
+        F.expr(
+            """case pk % 9 when 0 then '{"document": ' || document_id when 1 then '{"document": {"title": "' || document_id || '"}}'
+             else '{"document": {"id": "' || document_id || '"}}' end"""
+        ).alias("result")
+    )
+    return scan_pages(spark, _partly_broken_pages(spark, sf))[1].unionByName(search_result_errors(results))
+
+
+def _unsure_scorer(batch: pd.DataFrame) -> pd.Series:
+    """A stand-in scorer: some replies are no JSON, some state a score in words, the others match nothing."""
+    kind = batch["project_id"].str.slice(4).astype("int64") % 13
+    worded = '{"matches": [{"document_id": "d", "decision": "strong_match", "confidence_score": "high"}]}'
+    return kind.map({5: "{ no json", 6: worded}).fillna('{"matches": []}')
+
+
+def full_sync_errors(spark: SparkSession, sf: str) -> DataFrame:
+    place = _partly_broken_pages(spark, sf)
+    settings = runs.RunSettings("run_1", AS_OF, wiki=SETTINGS, scorer=_unsure_scorer)
+    tables = runs.full_sync(
+        spark, runs.empty_tables(spark), _project_rows(spark, sf, place), landed_search(spark, sf), settings, scan_pages(spark, place)[1]
+    )
+    return tables["errors"].select("run_id", "job_name", "key", "error")
+
+
 def landed_search(spark: SparkSession, sf: str):
     """Search results as landed files would give them: a query with an order's number finds its documents."""
     documents = _documents(spark, sf)
@@ -270,7 +308,7 @@ QUERIES = {
         title_features, doc_types, prefilter_sources, source_fallback, source_documents, source_table_md, background_paragraph,
         no_source_page, wiki_prompts, batch_generate, batch_generate_by_function, replace_sources_section, linkify_citations,
         finalize_pages, page_records, wiki_batch, full_sync, historical_sync, full_sync_run_log, single_project,
-        search_by_content, incremental_ingest,
+        search_by_content, incremental_ingest, scan_errors, full_sync_errors,
     )
 }
 
@@ -423,6 +461,14 @@ ORACLES = {
  union all select 'taxonomy-sync', (select count(*) from ex_run_decided where lower(status) not in ('done', 'completed', 'cancelled', 'closed', 'future')), (select count(*) from ex_open_links)
  union all select 'wiki-generate', (select count(*) from ex_open_facts), (select count(*) from ex_open_facts)
  union all select 'full-sync', 0, 0)""",
+    "scan_errors": """select 'landed page' as key, 'unreadable line' as error, '{"page":' || k as record from fx_projects where k % 50 = 0
+ union all select 'search result', case pk % 9 when 0 then 'unreadable result' else 'result without id and name' end,
+  case pk % 9 when 0 then '{"document": ' || document_id else '{"document": {"title": "' || document_id || '"}}' end from fx_documents where pk % 9 < 2""",
+    "full_sync_errors": """select 'run_1' as run_id, 'scoro-sync' as job_name, 'landed page' as key, 'unreadable line' as error from fx_projects where k % 50 = 0
+ union all select 'run_1', 'taxonomy-sync', project_id, e.error from
+  (select distinct project_id, cast(substr(project_id, 5) as bigint) % 13 as kind from ex_run_decided
+   where lower(status) not in ('done', 'completed', 'cancelled', 'closed', 'future')) p
+  join (values (5, 'invalid JSON'), (6, 'score is no number'), (6, 'document was not asked about')) e(kind, error) on e.kind = p.kind""",
     "single_project": f"""select {PAGE_COLUMNS} from ex_wiki_pages where project_id = (select project_id from fx_map group by project_id order by count(*) desc, project_id limit 1)""",
     "incremental_ingest": "select project_id, project_name, status, client_company, client_contacts, project_members, start_date from ex_landed",
 }
