@@ -122,3 +122,36 @@ def test_lost_input_is_noted_or_ends_a_strict_run(spark):
     with pytest.raises(runs.StepFailed) as failure:
         runs.full_sync(spark, old, _rows(spark, 2), _no_hits(spark), strict, errors)
     assert failure.value.step == "scoro-sync" and failure.value.tables["errors"].count() == 1
+
+
+def test_ingest_keeps_pull_order_and_reads_one_version(spark, tmp_path):
+    from casebook.streaming.ingest import finished_versions, newest_version, start_ingest
+
+    def land(name, status, page, title):
+        (tmp_path / "landing").mkdir(exist_ok=True)
+        record = f'{{"project_id": 7, "project_name": "{title}"}}'
+        (tmp_path / "landing" / name).write_text(f'{{"status": "{status}", "page": {page}, "data": [{record}]}}\n')
+
+    def normalize(raw):
+        columns = [c for c in runs.PROJECTS.names if c not in ("imported_at", "project_id", "scoro_id", "project_name")]
+        name = F.try_variant_get("rec", "$.project_name", "string").alias("project_name")
+        return raw.select(F.col("id").alias("project_id"), F.col("id").alias("scoro_id"), name, *[F.lit("").alias(c) for c in columns])
+
+    def pull(pull_id):
+        versions, progress = str(tmp_path / "versions"), str(tmp_path / "progress")
+        start_ingest(
+            spark, str(tmp_path / "landing"), versions, progress, ("open", "closed"), normalize, datetime(2026, 1, 1), 1, pull_id
+        ).awaitTermination()
+        return [r.project_name for r in newest_version(spark, versions).collect()]
+
+    land("a.json", "closed", 1, "second")
+    assert pull("one") == ["second"]
+    land("b.json", "open", 2, "first")
+    assert pull("one") == ["first"]
+    land("c.json", "open", 3, "third")
+    assert pull("one") == ["first"]
+    land("d.json", "closed", 9, "of the next pull")
+    assert pull("two") == ["of the next pull"]
+    table = newest_version(spark, str(tmp_path / "versions"))
+    assert len({f.rsplit("/", 2)[1] for f in table.inputFiles()}) == 1
+    assert finished_versions(spark, str(tmp_path / "versions")) == [2, 3]
