@@ -14,6 +14,7 @@ from casebook.operators.pages import replace_chunks, replace_pages, stored_chunk
 from casebook.operators.selection import mapped_project_counts, projects_for_processing
 from casebook.operators.upsert import assert_unique, upsert_candidates, upsert_documents, upsert_projects
 from casebook.sources.durable import settle, settle_counted
+from casebook.sources.store import append_table, load_table, merge_table
 from casebook.plans.steps import Scorer, Search, WikiSettings, Writer, classify, discover, write_pages
 from casebook.schemas import (
     CANDIDATES,
@@ -50,7 +51,8 @@ def empty_tables(spark: SparkSession) -> Tables:
 class RunSettings:
     """What a run works on. Limits are off unless stated; `strict` ends a step at its first error row.
 
-    `clock` tells when steps begin and end.
+    `clock` tells when steps begin and end. With `folder`, tables are stored there by name: rows with keys go into
+    buckets, of which only the touched ones are rewritten, other rows are appended. Without it the run returns new tables.
     """
 
     run_id: str
@@ -66,6 +68,7 @@ class RunSettings:
     query_description_chars: int | None = None
     classifier_preview_chars: int | None = None
     error_message_chars: int | None = None
+    folder: str | None = None
 
 
 class ErrorsFound(RuntimeError):
@@ -76,6 +79,26 @@ class ErrorsFound(RuntimeError):
         self.tables = tables
 
 
+def _merged(
+    tables: Tables, name: str, keys: list[str], source: DataFrame, merge: Callable[[DataFrame], DataFrame], settings: RunSettings
+) -> DataFrame:
+    """The table after `merge`, which upserts or replaces the keys of `source`."""
+    if settings.folder is None:
+        return settle(merge(tables[name]), name)
+    return merge_table(source.sparkSession, settings.folder, name, SCHEMAS[name], keys, source, merge)
+
+
+def _appended(tables: Tables, name: str, rows: DataFrame, settings: RunSettings) -> DataFrame:
+    if settings.folder is None:
+        return tables[name].unionByName(rows)
+    return append_table(rows.sparkSession, settings.folder, name, align_to_schema(rows, SCHEMAS[name], fill_text=False))
+
+
+def load_tables(spark: SparkSession, folder: str) -> Tables:
+    """All tables of a folder under the current schemas; what is not there yet is empty."""
+    return {name: load_table(spark, folder, name, schema) for name, schema in SCHEMAS.items()}
+
+
 def _noted(tables: Tables, job: str, errors: DataFrame | None, settings: RunSettings) -> Tables:
     """Tables with the error rows (key, error, record) of a step; in strict mode any of them ends the step."""
     if errors is None:
@@ -84,7 +107,7 @@ def _noted(tables: Tables, job: str, errors: DataFrame | None, settings: RunSett
         F.lit(settings.run_id).alias("run_id"), F.lit(job).alias("job_name"), *[F.col(c).cast("string") for c in ("key", "error", "record")]
     )
     rows, count = settle_counted(rows, "errors")
-    noted = tables | {"errors": tables["errors"].unionByName(rows)}
+    noted = tables | {"errors": _appended(tables, "errors", rows, settings)} if count else tables
     if count and settings.strict:
         raise ErrorsFound(job, count, noted)
     return noted
@@ -94,7 +117,7 @@ def sync_projects(tables: Tables, rows: DataFrame, settings: RunSettings, errors
     tables = _noted(tables, JOB_NAMES[0], errors, settings)
     rows, count = settle_counted(rows, "project-rows")
     assert_unique(rows, ["project_id"])
-    merged = settle(upsert_projects(tables["projects"], rows, settings.as_of), "projects")
+    merged = _merged(tables, "projects", ["project_id"], rows, lambda t: upsert_projects(t, rows, settings.as_of), settings)
     return tables | {"projects": merged}, count, count
 
 
@@ -106,9 +129,12 @@ def sync_documents(tables: Tables, search: Search, settings: RunSettings) -> Ste
     documents = settle(documents, "found-documents")
     assert_unique(documents, ["document_id"])
     merged = {
-        "documents": settle(upsert_documents(tables["documents"], documents, settings.as_of), "documents"),
-        "candidates": settle(
-            upsert_candidates(tables["candidates"], candidates, settings.run_id, settings.as_of, ("query_ord",)), "candidates"
+        "documents": _merged(
+            tables, "documents", ["document_id"], documents, lambda t: upsert_documents(t, documents, settings.as_of), settings
+        ),
+        "candidates": _merged(
+            tables, "candidates", ["project_id", "document_id"], candidates,
+            lambda t: upsert_candidates(t, candidates, settings.run_id, settings.as_of, ("query_ord",)), settings,
         ),
     }
     return tables | merged, read, found
@@ -123,7 +149,7 @@ def sync_mappings(tables: Tables, settings: RunSettings) -> StepResult:
     )
     mappings, written = settle_counted(found, "mappings")
     tables = _noted(tables, JOB_NAMES[2], errors, settings)
-    return tables | {"document_map": tables["document_map"].unionByName(mappings)}, asked.count(), written
+    return tables | {"document_map": _appended(tables, "document_map", mappings, settings)}, asked.count(), written
 
 
 def sync_pages(tables: Tables, settings: RunSettings) -> StepResult:
@@ -146,8 +172,8 @@ def _store(tables: Tables, chosen: DataFrame, settings: RunSettings) -> StepResu
     )
     pages, chunks = stored_pages(written), stored_chunks(written)
     stored = {
-        "pages": settle(replace_pages(tables["pages"], pages), "pages"),
-        "chunks": settle(replace_chunks(tables["chunks"], pages, chunks), "chunks"),
+        "pages": _merged(tables, "pages", ["project_id"], pages, lambda t: replace_pages(t, pages), settings),
+        "chunks": _merged(tables, "chunks", ["project_id"], pages, lambda t: replace_chunks(t, pages, chunks), settings),
     }
     return tables | stored, count, count
 
@@ -213,7 +239,7 @@ def _logged(
     entry = run_entry(
         spark, job, settings.run_id, start, settings.clock(), status, read, written, message, settings.error_message_chars
     )
-    return tables | {"runs": tables["runs"].unionByName(entry)}
+    return tables | {"runs": _appended(tables, "runs", entry, settings)}
 
 
 def historical_sync(

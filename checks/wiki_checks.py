@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import datetime
 
 import pandas as pd
@@ -14,7 +15,7 @@ from casebook.operators import selection as sel
 from casebook.operators import wiki_sources as ws
 from casebook.operators.normalize import normalize_projects
 from casebook.plans import full_sync as runs
-from casebook.sources.durable import new_place
+from casebook.sources.durable import new_place, settle
 from casebook.plans.steps import Dimensions, WikiSettings, corpus_search, project_rows, write_pages
 from casebook.sources.landed import read_pages, scan_pages
 from casebook.sources.search_results import search_result_errors
@@ -239,6 +240,17 @@ def _run(spark: SparkSession, sf: str, mode: str) -> runs.Tables:
     return step(spark, runs.empty_tables(spark), _project_rows(spark, sf), landed_search(spark, sf), settings)
 
 
+def full_sync_twice(spark: SparkSession, sf: str) -> DataFrame:
+    """The stored tables after a whole run and a second one that lands every tenth project again."""
+    folder = new_place(spark, "tables")
+    settings = runs.RunSettings("run_1", AS_OF, wiki=SETTINGS, folder=folder)
+    rows, search = settle(_project_rows(spark, sf), "rows"), landed_search(spark, sf)
+    runs.full_sync(spark, runs.load_tables(spark, folder), rows, search, settings)
+    some = rows.filter("cast(substr(project_id, 5) as bigint) % 10 = 0")
+    again = replace(settings, run_id="run_2")
+    return _stored_columns(spark, runs.full_sync(spark, runs.load_tables(spark, folder), some, search, again))
+
+
 def _stored_columns(spark: SparkSession, tables: runs.Tables) -> DataFrame:
     texts = pg.reassembled_pages(tables["pages"], tables["chunks"])
     return tables["pages"].join(texts, "project_id").select(
@@ -315,6 +327,7 @@ QUERIES = {
         no_source_page, wiki_prompts, batch_generate, batch_generate_by_function, replace_sources_section, linkify_citations,
         finalize_pages, page_records, wiki_batch, full_sync, historical_sync, full_sync_run_log, single_project,
         search_by_content, incremental_ingest, scan_errors, full_sync_errors,
+        full_sync_twice,
     )
 }
 
@@ -459,6 +472,7 @@ ORACLES = {
     "wiki_batch": """select count(*) as projects_succeeded, 0 as projects_failed, 'ok' as status from ex_wiki_final
  where project_id in (select project_id from fx_map)""",
     "full_sync": f"select {STORED_COLUMNS} from ex_open_pages",
+    "full_sync_twice": f"select {STORED_COLUMNS} from ex_open_pages",
     "historical_sync": f"select {STORED_COLUMNS} from ex_all_pages",
     "full_sync_run_log": """select 'run_1' as run_id, job_name, 'success' as status, records_read, records_written from (
  select 'scoro-sync' as job_name, count(*) as records_read, count(*) as records_written from ex_landed

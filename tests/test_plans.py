@@ -5,6 +5,7 @@ from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 import __spark_entry__ as registry
 from casebook.operators import upsert as up
@@ -155,3 +156,24 @@ def test_ingest_keeps_pull_order_and_reads_one_version(spark, tmp_path):
     table = newest_version(spark, str(tmp_path / "versions"))
     assert len({f.rsplit("/", 2)[1] for f in table.inputFiles()}) == 1
     assert finished_versions(spark, str(tmp_path / "versions")) == [2, 3]
+
+
+def test_small_batch_leaves_other_buckets_alone(spark, tmp_path):
+    from casebook.operators.upsert import upsert
+    from casebook.sources.store import load_table, merge_table
+
+    schema = T.StructType([T.StructField("id", T.StringType()), T.StructField("v", T.StringType()), T.StructField("new", T.StringType())])
+    folder, old = str(tmp_path), T.StructType(schema.fields[:2])
+
+    def store(rows, fields):
+        batch = spark.createDataFrame(rows, fields)
+        return merge_table(spark, folder, "t", fields, ["id"], batch, lambda target: upsert(target, batch, ["id"], fields), 16)
+
+    store([(f"k{i}", "a") for i in range(200)], old)
+    before = {p: p.stat().st_mtime_ns for p in (tmp_path / "t").rglob("*.parquet")}
+    after = store([("k3", "b", "x"), ("k999", "c", "y")], schema)
+    rows = {r.id: (r.v, r.new) for r in after.collect()}
+    assert len(rows) == 201 and rows["k3"] == ("b", "x") and rows["k999"] == ("c", "y") and rows["k4"] == ("a", None)
+    kept = [p for p, t in before.items() if p.exists() and p.stat().st_mtime_ns == t]
+    assert len(before) == 16 and len(kept) >= 14
+    assert load_table(spark, folder, "missing", schema).count() == 0
