@@ -13,14 +13,7 @@ VERSION_TAG = r"(?iU)[_\s-]v(\d+)([_.\s]|$)"
 # Titles of internal files that are never about one project.
 # {org} is the name the organisation puts in front of its purchase lists.
 NOISE_TITLES = (
-    r"Utilization_Report",
-    r"PLANNING\s",
-    r"{org}_Purchased",
-    r"project.categories",
-    r"\bJira\b",
-    r"^TV\s*-\s*\d",
-    r"_OP\s+Summary_",
-    r"Handover_",
+    r"(?iU)Utilization_Report|PLANNING\s|{org}_Purchased|project.categories|\bJira\b|^TV\s*-\s*\d|_OP\s+Summary_|Handover_"
 )
 
 # File name endings of every document type.
@@ -44,7 +37,7 @@ def base_name(title: Column) -> Column:
 
 
 def noise_pattern(org: str = "Agency") -> str:
-    return "(?iU)" + "|".join(NOISE_TITLES).replace("{org}", org)
+    return NOISE_TITLES.replace("{org}", org)
 
 
 def is_noise(title: Column, org: str = "Agency") -> Column:

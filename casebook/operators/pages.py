@@ -45,6 +45,7 @@ def _text(*parts: str | Column) -> Column:
     return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
 
 
+# The sentences and bullets of the page texts below must equal those of stored pages.
 def background_paragraph(org: str = ORG) -> Column:
     """Prose about a project from the facts that are known."""
     c = {name: F.col(name) for name in (*PAGE_FACTS, "project_no", "project_manager")}
