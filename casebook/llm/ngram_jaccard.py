@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from casebook.llm.common import components, mix, settle, word_hashes
 
 _STEP = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], dtype=np.uint64)
+_PARTS = 4096  # ranges of key hashes, by their twelve highest bits
 _SIGNED = "node long, doc_id long, n_shingles long, a long, b long, part int, first long, keys binary"
 
 
@@ -109,9 +110,9 @@ def _sign(k: int, threshold: float):
                 a, b = (tied >> shift).astype(np.int64), (tied & np.uint64(0xFFFF)).astype(np.int64)
                 yield _rows(a=base + a[a != b], b=base + b[a != b])
                 once = packed[head]
-                cuts = np.searchsorted(once >> np.uint64(56), np.arange(257, dtype=np.uint64))
-                full = [p for p in range(256) if cuts[p] < cuts[p + 1]]
-                low = once.view(np.uint8).reshape(-1, 8)[:, :7]  # the highest byte is the part
+                cuts = np.searchsorted(once >> np.uint64(52), np.arange(_PARTS + 1, dtype=np.uint64))
+                full = [p for p in range(_PARTS) if cuts[p] < cuts[p + 1]]
+                low = once.view(np.uint8).reshape(-1, 8)[:, :7]  # the part states the highest byte
                 yield _rows(part=full, first=[base] * len(full), keys=[low[cuts[p] : cuts[p + 1]].tobytes() for p in full])
 
     return run
@@ -137,7 +138,7 @@ def _ties(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     nodes: list[np.ndarray] = []
     for batch in batches:
         for part, first, packed in zip(*(c.to_pylist() for c in batch.columns)):
-            wide = np.full((len(packed) // 7, 8), part, dtype=np.uint8)
+            wide = np.full((len(packed) // 7, 8), part >> 4, dtype=np.uint8)
             wide[:, :7] = np.frombuffer(packed, dtype=np.uint8).reshape(-1, 7)
             own = wide.view(np.uint64).ravel()
             found.append(own >> np.uint64(16))
@@ -223,7 +224,7 @@ def _tile(percent: int):
     return run
 
 
-def jaccard_components(documents: DataFrame, k: int = 5, percent: int = 80, block: int = 4000, part_bytes: int = 32 << 20) -> DataFrame:
+def jaccard_components(documents: DataFrame, k: int = 5, percent: int = 80, block: int = 4000, part_bytes: int = 4 << 20) -> DataFrame:
     """doc_id, n_shingles and component_id of every document (see the module).
 
     `percent` is the similarity in hundredths, `block` the sets of a tile's side, `part_bytes` the packed keys that
@@ -234,7 +235,7 @@ def jaccard_components(documents: DataFrame, k: int = 5, percent: int = 80, bloc
     signed = settle(docs.mapInArrow(_sign(k, percent / 100), _SIGNED), "shingle-keys")
     packed = signed.where("part is not null").select("part", "first", "keys")
     held = packed.agg(F.sum(F.length("keys"))).first()[0] or 0
-    tasks = int(min(256, max(1, held // part_bytes, int(spark.conf.get("spark.sql.shuffle.partitions")))))
+    tasks = int(min(_PARTS, max(1, held // part_bytes, int(spark.conf.get("spark.sql.shuffle.partitions")))))
     across = packed.repartition(tasks, "part").mapInArrow(_ties, "a long, b long")
     ties = signed.where("a is not null").select("a", "b").union(across)
     groups = settle(components(ties, "shingle-ties"), "shingle-groups")
