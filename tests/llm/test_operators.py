@@ -220,6 +220,22 @@ def test_near_vectors(spark):
     assert near_vectors(spark.createDataFrame([], schema)).count() == 0
 
 
+@pytest.mark.parametrize("spread", [0.2, 0.25])
+def test_near_vectors_of_a_crowd(spark, spread):
+    pick = np.random.default_rng(11)
+    crowd = (v := pick.normal(size=64)) / np.linalg.norm(v) + pick.normal(size=(700, 64)) * spread / 8
+    vectors = np.concatenate([crowd, pick.normal(size=(500, 64))])
+    vectors = np.concatenate([vectors, vectors[:40] + pick.normal(size=(40, 64)) * 0.01, vectors[-100:] * 1.5])
+    labels = np.arange(len(vectors)) % 2
+    rows = [(i, v.tolist(), int(g)) for i, (v, g) in enumerate(zip(vectors, labels))]
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    links = (unit @ unit.T >= 0.93) & (labels[:, None] == labels[None])
+    np.fill_diagonal(links, False)
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: r.n_links for r in near_vectors(frame, pivots=1000, block=150).collect()}
+    assert links.sum() > 20_000 and [got[i] for i in range(len(rows))] == links.sum(axis=1).tolist()
+
+
 # --- 5 -----------------------------------------------------------------------------------------
 
 SECRET = "token = 'Abcdefghij0123456789'"
