@@ -6,8 +6,11 @@ layers go to the worklist until none is left; a layer that has been seen at the
 cycles. Every layer keeps, for each of its characters, the stretch of the original text it stems from, so that spans of
 all layers are spans of the original text (code points, end exclusive).
 
-Data that unpacks to more than `largest` bytes is scanned up to there and counted in `n_unread`. A base64 run counts
-only if its bytes are UTF-8 text without control characters or packed data. Null texts are scanned as empty ones. Rows are
+Base64 may run over several lines; its lines are decoded one by one and joined. Bytes that are not UTF-8 text are scanned as
+Latin-1, and stretches of ASCII in UTF-16 or UTF-32 once more without their zeros. Unpacked data is taken in pieces of about
+`piece` bytes, cut only where no match can go on, so nothing is left out and memory is bounded unless one match is longer;
+every member of a gzip file is read. What damaged or truncated data gave before its end is scanned; such data counts in
+`n_unread`, and its bytes are scanned as they are, too. Null texts are scanned as empty ones. Rows are
 scanned one by one, in a single pass without a shuffle; other columns are ignored.
 """
 
@@ -37,7 +40,9 @@ ASSIGN_VALUE, ACCESS_LENGTH = 12, 18
 PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 ESCAPE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|&#([0-9]{1,7});|&#[xX]([0-9A-Fa-f]{1,6});")
 BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+={0,2}")
-CONTROL = re.compile(r"[\x00-\x08\x0e-\x1f\x7f]")
+NEXT_LINE = re.compile(r"[ \t]*(?:\r\n?|\n|\\r\\n|\\n)[ \t>]*([A-Za-z0-9+/_-]+)(={0,2})([ \t]*(?=[\r\n\"'<\\]|\Z))?")
+WIDE = re.compile(r"\x00*(?:[\x09-\x0d\x20-\x7e]\x00{1,3}){7,}[\x09-\x0d\x20-\x7e]?")
+CUT = re.compile(rb"[,{}();<!*|~^]|(?<=[a-z]{4}) (?=[A-Za-z0-9])")  # no match goes on after these
 WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
 
@@ -112,68 +117,158 @@ def _escape(m: re.Match) -> Iterator[tuple[int, int, str]]:
         yield m.start(), m.end(), chr(code)
 
 
-def _unpacked(raw: bytes, largest: int) -> tuple[bytes | None, bool]:
-    """Content of gzip or zlib data and whether more would follow; None for other bytes."""
-    if raw[:2] != b"\x1f\x8b" and (len(raw) < 2 or raw[0] & 15 != 8 or (raw[0] << 8 | raw[1]) % 31):
-        return None, False
-    unpack = zlib.decompressobj(47)
+def _packed(raw: bytes) -> bool:
+    return raw[:2] == b"\x1f\x8b" or len(raw) > 1 and raw[0] & 15 == 8 and (raw[0] << 8 | raw[1]) % 31 == 0
+
+
+def _unpacked(raw: bytes) -> Iterator[bytes | None]:
+    """Content of gzip or zlib data, member by member, in small parts; None at last if it is damaged or ends too early."""
+    while _packed(raw):
+        unpack, at = zlib.decompressobj(47), 0
+        while at < len(raw) and not unpack.eof:
+            part = raw[at : at + 4096]
+            at += len(part)
+            try:
+                while part:
+                    before = unpack.copy()
+                    yield unpack.decompress(part, 1 << 20)
+                    part = unpack.unconsumed_tail
+            except zlib.error:
+                yield from _before_damage(before, part)
+                yield None
+                return
+        if not unpack.eof:
+            yield unpack.flush()
+            yield None
+            return
+        raw = (unpack.unused_data + raw[at:]).lstrip(b"\0")
+
+
+def _before_damage(unpack, part: bytes) -> Iterator[bytes]:
+    """What a part gives byte by byte up to its error."""
     try:
-        out = unpack.decompress(raw, largest)
+        for i in range(len(part)):
+            yield unpack.decompress(part[i : i + 1])
     except zlib.error:
-        return None, False
-    return out, bool(unpack.unconsumed_tail)
-
-
-def _read(raw: bytes) -> str | None:
+        return
+
+
+def _pieces(parts: Iterator[bytes], piece: int) -> Iterator[bytes]:
+    """The parts joined to pieces that end where no match goes on."""
+    held, size, wanted = [], 0, piece
+    for part in parts:
+        held.append(part)
+        size += len(part)
+        if size >= wanted:
+            whole = b"".join(held)
+            cut = max((m.end() for m in CUT.finditer(whole, max(0, len(whole) - 4096))), default=0)
+            cut = cut or max((m.end() for m in CUT.finditer(whole)), default=0)
+            if cut:
+                yield whole[:cut]
+            held, size = [whole[cut:]], len(whole) - cut
+            wanted = max(piece, 2 * size)
+    if size:
+        yield b"".join(held)
+
+
+def _read(raw: bytes) -> Iterator[str]:
+    """The texts that bytes may stand for."""
     try:
         text = raw.decode()
     except UnicodeDecodeError:
-        return None
-    return None if CONTROL.search(text) else text
+        text = raw.decode("latin-1")
+    yield text
+    if "\0" in text and WIDE.search(text):
+        yield WIDE.sub(lambda m: m.group().replace("\0", ""), text)
 
 
-def scan(text: str | None, largest: int = 1 << 24) -> tuple[list[Span], list[Span], int]:
+def scan(text: str | None, piece: int = 1 << 24) -> tuple[list[Span], list[Span], int]:
     """Base spans, all spans, and the number of layers not read to their end."""
     text = text or ""
     base = base_spans(text)
     found, unread = set(base), 0
-    worklist = _below(Layer(text, [], [], False), True, largest)
-    seen: set[tuple[str, int]] = set()
+    worklist = [_below(Layer(text, [], [], False), True, piece)]
+    seen: set[tuple[bytes, int]] = set()
     while worklist:
-        layer, cut = worklist.pop()
-        unread += cut
-        mark = (layer.text, layer.starts[0] if layer.starts else 0)
+        layer = next(worklist[-1], False)
+        if layer is False:
+            worklist.pop()
+            continue
+        if layer is None:
+            unread += 1
+            continue
+        mark = (hashlib.sha256(layer.text.encode("utf-8", "surrogatepass")).digest(), layer.starts[0] if layer.starts else 0)
         if mark in seen:
             continue
         seen.add(mark)
         for hit in base_spans(layer.text):
             start, end = layer.span(hit.start, hit.end)
             found.add(Span(start, hit.kind, end))
-        worklist += _below(layer, False, largest)
+        worklist.append(_below(layer, False, piece))
     return base, sorted(found), unread
 
 
-def _below(layer: Layer, first: bool, largest: int) -> list[tuple[Layer, bool]]:
-    """The layers found in a layer. The characters of the first one are only numbered when something is decoded in place."""
-    text, out = layer.text, []
+def _base64_runs(text: str) -> Iterator[tuple[int, int, str, bool]]:
+    """Start, end and letters of base64 runs, single lines and lines joined to blocks, and whether a run is no part of a block."""
+    done = 0
+    for m in BASE64.finditer(text):
+        if m.start() < done:
+            yield m.start(), m.end(), m.group().rstrip("="), False
+            continue
+        lines, ended = [(m.start(), m.end(), m.group().rstrip("="))], m.group().endswith("=")
+        while not ended and (more := NEXT_LINE.match(text, lines[-1][1])):
+            ended = bool(more[2]) or more[3] is None
+            if more[3] is None and not more[2] and len(more[1]) % 4 and sum(len(x[2]) for x in lines) % 4 == 0:
+                break  # a whole block, then a word of prose
+            lines.append((more.start(1), more.end(2), more[1]))
+        done = lines[-1][1]
+        yield *lines[0], len(lines) == 1
+        blocks = [[lines[0]]]
+        for line in lines[1:]:
+            width = len(blocks[-1][0][2])
+            if len(blocks[-1][-1][2]) == width >= len(line[2]):
+                blocks[-1].append(line)
+            else:
+                blocks.append([line])
+        for block in [*blocks, *([lines] if len(blocks) > 1 else [])]:
+            if len(block) > 1:
+                yield block[0][0], block[-1][1], "".join(x[2] for x in block), True
+
+
+def _below(layer: Layer, first: bool, piece: int) -> Iterator[Layer | None]:
+    """The layers found in a layer, and None for each that was not read to its end. The characters of the first one are only numbered when something is decoded in place."""
+    text = layer.text
     in_place = [(p, d) for mark, p, d in (("%", PERCENT, _percent), ("\\", ESCAPE, _escape), ("&#", ESCAPE, _escape)) if mark in text and p.search(text)]
     if in_place and first:
         layer = Layer(text, list(range(len(text))), list(range(1, len(text) + 1)), False)
     for pattern, decode in dict(in_place).items():
         new = _replaced(layer, pattern, decode)
         if new is not None:
-            out.append((new, False))
-    for m in BASE64.finditer(text):
-        run = m.group().rstrip("=")
-        if len(run) % 4 == 1:
-            continue
+            yield new
+    for at, to, run, alone in _base64_runs(text):
+        run = run[: len(run) - (len(run) % 4 == 1)]
         raw = base64.urlsafe_b64decode(run.replace("+", "-").replace("/", "_") + "=" * (-len(run) % 4))
-        start, end = (m.start(), m.end()) if first else layer.span(m.start(), m.end())
-        content, more = _unpacked(raw, largest)
-        new = _read(raw if content is None else content) if not more else (content or b"").decode("utf-8", "ignore")
-        if new:
-            out.append((Layer(new, [start], [end], True), more))
-    return out
+        start, end = (at, to) if first else layer.span(at, to)
+        if _packed(raw):
+            state = {"whole": True, "some": False}
+            for content in _pieces(_noted(_unpacked(raw), state), piece):
+                for new in _read(content):
+                    yield Layer(new, [start], [end], True)
+            if alone and state["some"] and not state["whole"]:
+                yield None
+            if state["whole"]:
+                continue
+        for new in _read(raw):
+            yield Layer(new, [start], [end], True)
+
+
+def _noted(parts: Iterator[bytes | None], state: dict[str, bool]) -> Iterator[bytes]:
+    for part in parts:
+        if part is None:
+            state["whole"] = False
+        elif part:
+            state["some"] = True
+            yield part
 
 
 def redact(text: str | None, mask: str = "[SECRET]") -> str | None:

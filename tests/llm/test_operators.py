@@ -263,6 +263,44 @@ def test_decoded_layers_map_to_the_text():
     assert layers("%zz %4 &#x; \\u12 " + "A" * 40) == [] and layers("") == [] and scan(None)[0] == []
 
 
+def packed(raw, lines=0):
+    run = base64.b64encode(raw).decode()
+    return "\n".join(run[i : i + lines] for i in range(0, len(run), lines)) if lines else run
+
+
+@pytest.mark.parametrize("how", ["zeros", "utf-16", "utf-16-be", "latin-1", "lines", "gzip lines", "members", "truncated", "damaged"])
+def test_layers_that_are_not_plain_text(how):
+    noise = random.Random(3).randbytes(3000).hex().translate(str.maketrans("0123456789abcdef", "ghijklmnopqrstuv")).encode()
+    secret = SECRET.encode()
+    run = {
+        "zeros": lambda: packed(gzip.compress(b"name\0\0\0\1" + secret)),
+        "utf-16": lambda: packed(SECRET.encode("utf-16")),
+        "utf-16-be": lambda: packed(SECRET.encode("utf-16-be")),
+        "latin-1": lambda: packed("caf\xe9 ".encode("latin-1") + secret),
+        "lines": lambda: packed(b"x" * 45 + secret + b"y" * 40, 76),
+        "gzip lines": lambda: packed(gzip.compress(noise + secret), 76),
+        "members": lambda: packed(gzip.compress(b"first") + gzip.compress(secret)),
+        "truncated": lambda: packed(gzip.compress(secret + b" " + noise)[:-400]),
+        "damaged": lambda: packed((z := gzip.compress(secret + b" " + noise))[:-200] + b"\xff" * 150 + z[-50:]),
+    }[how]()
+    assert f"assign:3:{3 + len(run)}" in layers(f"go {run} on")
+    assert "[SECRET]" in redact(f"go {run} on") and scan(run)[2] == (how in ("truncated", "damaged"))
+
+
+@pytest.mark.parametrize("before", [0, 900, 990, 1010, 5000])
+def test_layers_in_pieces(before):
+    log = b"some line of a log, " * (before // 20) + b"z" * (before % 20)
+    inner = base64.b64encode(b"q" * 700 + SECRET.encode() + b"q" * 700)
+    for content in (log + SECRET.encode() + log, log + b" " + inner + b" " + log):
+        run = packed(gzip.compress(content))
+        assert scan(run, 1000)[1] == scan(run)[1] and scan(run, 1000)[1:] == ([(0, 0, len(run))], 0)
+
+
+def test_layers_beyond_16_mb():
+    run = packed(gzip.compress(b"a line of a log, and more\n" * 700_000 + SECRET.encode()))
+    assert layers(run) == [f"assign:0:{len(run)}"] and scan(run)[2] == 0
+
+
 def test_redaction():
     assert redact(f"a {SECRET} b") == "a [SECRET]' b" and redact(None) is None and redact("a") == "a"
 
