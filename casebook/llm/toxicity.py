@@ -3,7 +3,8 @@
 1. A character trigram model is counted over the letters of all documents (trigrams rarer than `least_share` of all are
    left to the bigrams; that bounds what the driver gathers).
 2. A token that may be disguised becomes a lattice: look-alike digits and signs may stand for letters, runs of one
-   character for one or two of it, and letters kept apart by blanks or signs for one word. Every reading but the plain one
+   character for one or two of it, letters kept apart by signs for one word, and letters kept apart by blanks for words
+   whose bounds the decoding chooses. Every reading but the plain one
    costs the channel something; Viterbi decoding under the trigram model picks the reading. Tokens of plain letters have a
    lattice with one path and are taken as they are.
 3. Features are words and word beginnings of the restored text (its plain reading included). Labelled documents give each
@@ -40,7 +41,8 @@ LOOKALIKES = {
 _WORD = re.compile(r"[^\W\d_]+")
 _OTHER = re.compile(r"[\W\d_]+")
 _APART = re.compile(r"[^\w@$!|+(]+|_+")
-_RUN = re.compile(r"(.)\1{2,}|(.)\2.*?(.)\3")
+_RUN = re.compile(r"(.)\1")
+_SPELLED = re.compile(rf"(?:[^\W\d_]|[{re.escape(''.join(LOOKALIKES))}])+")
 _EDGE = " \t\r\n\v\f.,;:?\"'`´*&%#~<>[]{})/\\=^…«»„“”-_"
 _SUBSTITUTE, _REPEAT = 1.5, 0.5  # what a look-alike and a shortened run cost, in nats
 
@@ -114,14 +116,18 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
     return out
 
 
-def decode(token: str, model: LetterModel) -> str | None:
-    """The likeliest word behind a token; None if it has no reading in letters."""
+def decode(token: str, model: LetterModel, apart: bool = False) -> str | None:
+    """The likeliest word behind a token, or words if its characters stood apart; None if it has no reading in letters."""
     steps = lattice(token)
     if not steps:
         return None
-    best: dict[str, tuple[float, str]] = {"  ": (0.0, "")}
+    if apart:
+        for options in steps:
+            options += [(" ".join(x), cost) for x, cost in options if len(x) == 2]
+        steps = [x for options in steps for x in (options, [("", 0.0), (" ", 0.0)])][:-1]
+    best: dict[str, tuple[float, tuple | None]] = {"  ": (0.0, None)}
     for options in [*steps, [(" ", 0.0)]]:
-        following: dict[str, tuple[float, str]] = {}
+        following: dict[str, tuple[float, tuple | None]] = {}
         for state, (score, path) in best.items():
             for letters, cost in options:
                 total, last = score - cost, state
@@ -129,9 +135,13 @@ def decode(token: str, model: LetterModel) -> str | None:
                     total += model.log(last + c)
                     last = last[1] + c
                 if last not in following or total > following[last][0]:
-                    following[last] = (total, path + letters)
+                    following[last] = (total, (path, letters))
         best = following
-    return max(best.values())[1].strip()
+    path, parts = max(best.values(), key=lambda x: x[0])[1], []
+    while path:
+        path, letters = path
+        parts.append(letters)
+    return "".join(reversed(parts)).strip()
 
 
 def readings(token: str, model: LetterModel) -> tuple[str, ...]:
@@ -146,7 +156,7 @@ def readings(token: str, model: LetterModel) -> tuple[str, ...]:
         pieces = ["".join(pieces)]
     for piece in pieces:
         for form in {piece, piece.strip("!|+("), piece.strip("!|+($@€£¡")}:
-            if len(form) > 40 or not any(map(str.isalpha, form)) or (form.isalpha() and not _RUN.search(form)):
+            if not any(map(str.isalpha, form)) or (form.isalpha() and not _RUN.search(form)):
                 if form.isalpha():
                     found.add(form)
                 continue
@@ -167,15 +177,20 @@ def restored_words(text: str | None, model: LetterModel, memo: dict[str, tuple[s
         if words is None:
             words = memo[token] = readings(token, model)
         out.update(words)
-    single = [len(t) == 1 for t in tokens]
+    cores = [t.strip(_EDGE) for t in tokens]
+    single = [len(t) < 2 for t in cores]
     if sum(single) > 2:
         run: list[str] = []
-        for token, alone in zip([*tokens, "  "], [*single, False]):
+        for token, alone in zip([*cores, "  "], [*single, False]):
             if alone:
                 run.append(token)
             else:
                 if len(run) > 2:
-                    out.update(readings("".join(run), model))
+                    joined = "".join(run)
+                    out.update(readings(joined, model))
+                    for part in _SPELLED.findall(joined):
+                        if any(map(str.isalpha, part)):
+                            out.update((decode(part, model, True) or "").split())
                 run = []
     return out
 

@@ -22,7 +22,7 @@ from casebook.llm.language_filters import learn_filters, predict_languages
 from casebook.llm.ngram_jaccard import bands, jaccard_components, link_tile, part_keys, shingles
 from casebook.llm.pivot_index import near_vectors
 from casebook.llm.secret_layers import redact, scan, secret_spans
-from casebook.llm.toxicity import LetterModel, decode, learn_toxicity, readings, score_toxicity
+from casebook.llm.toxicity import LetterModel, decode, learn_toxicity, readings, restored_words, score_toxicity
 
 COLUMNS = T.StructType(
     [T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("lang", T.StringType())]
@@ -430,6 +430,23 @@ def test_readings_of_spaced_and_plain_words():
     assert decode("12#4", model) is None
 
 
+@pytest.mark.parametrize(
+    "text, word",
+    [
+        ("such a s t u p i d man", "stupid"), ("y o u i d i o t", "idiot"), ("i d i o t l o s e r", "loser"), ('he said "i d i o t"', "idiot"),
+        ("an i d i o t. so", "idiot"), ("stuupid", "stupid"), ("iddiot!", "idiot"), ("m" + "o" * 60 + "ron", "moron"),
+        ("l o s e r " * 12, "loser"), ("1 d 1 0 t m 0 r 0 n", "moron"),
+    ],
+)
+def test_words_behind_blanks_and_doubled_letters(text, word):
+    grams, pick = defaultdict(int), random.Random(2)
+    words = ["such", "a", "you", "an", "man", "stupid", "idiot", "moron", "loser", "house", "good", "letter", "said", "so"]
+    running = "  " + " ".join(pick.choice(words) for _ in range(3000)) + " "
+    for i in range(len(running) - 2):
+        grams[running[i : i + 3]] += 1
+    assert word in restored_words(text, LetterModel(grams), {})
+
+
 def test_toxicity(spark):
     insults, pick = ["idiot", "moron", "stupid"], random.Random(4)
     rows, truth = [], {}
