@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from casebook.llm import mixing
+from casebook.llm import divergence, mixing
 from casebook.llm.common import fold_of, table
 from casebook.llm.compression_quality import learn_compression, score_quality
 from casebook.llm.fm_index import contamination
@@ -71,6 +71,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
 
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit_sources(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_compression_quality": op2_compression_quality,
@@ -82,8 +86,9 @@ QUERIES = {
     "op8_language_filters": op8_language_filters,
     "op9_warc": op9_warc,
     "op10_mixing": op10_mixing,
+    "op13_source_divergence": op13_source_divergence,
     "pipeline": corpus_pipeline.run,
 }
 
-ORACLES = {"op10_mixing": mixing.ORACLE}
+ORACLES = {"op10_mixing": mixing.ORACLE, "op13_source_divergence": divergence.ORACLE}
 DEFINITIONS: dict[str, str] = {}
