@@ -14,6 +14,8 @@ from casebook.llm.language_filters import learn_filters, predict_languages
 from casebook.llm.ngram_jaccard import jaccard_components
 from casebook.llm.pivot_index import near_vectors
 from casebook.llm.secret_layers import secret_spans
+from casebook.llm.shallot import ORACLE as SHALLOT_ORACLE
+from casebook.llm.shallot import cluster_vectors
 from casebook.llm.suffix_repeats import cut_repeats
 from casebook.llm.toxicity import learn_toxicity, score_toxicity
 from casebook.llm.warc import archived_pages
@@ -71,6 +73,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
 
+def op12_shallot_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster_vectors(table(spark, sf_dir, "embeddings")).drop("centroid")
+
+
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit_sources(table(spark, sf_dir, "documents"))
 
@@ -86,9 +92,10 @@ QUERIES = {
     "op8_language_filters": op8_language_filters,
     "op9_warc": op9_warc,
     "op10_mixing": op10_mixing,
+    "op12_shallot_clusters": op12_shallot_clusters,
     "op13_source_divergence": op13_source_divergence,
     "pipeline": corpus_pipeline.run,
 }
 
-ORACLES = {"op10_mixing": mixing.ORACLE, "op13_source_divergence": divergence.ORACLE}
+ORACLES = {"op10_mixing": mixing.ORACLE, "op12_shallot_clusters": SHALLOT_ORACLE, "op13_source_divergence": divergence.ORACLE}
 DEFINITIONS: dict[str, str] = {}
