@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from casebook.llm import divergence, mixing
+from casebook.llm import divergence, mixing, pieces
 from casebook.llm.common import fold_of, table
 from casebook.llm.compression_quality import learn_compression, score_quality
 from casebook.llm.fm_index import contamination
@@ -73,6 +73,13 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
 
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    model = pieces.read_model(public_tokenizers.path("piece_bpe_32k.model"))
+    return pieces.digests(table(spark, sf_dir, "documents"), model)
+
+
 def op12_shallot_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cluster_vectors(table(spark, sf_dir, "embeddings")).drop("centroid")
 
@@ -92,6 +99,7 @@ QUERIES = {
     "op8_language_filters": op8_language_filters,
     "op9_warc": op9_warc,
     "op10_mixing": op10_mixing,
+    "op11_sentencepiece": op11_sentencepiece,
     "op12_shallot_clusters": op12_shallot_clusters,
     "op13_source_divergence": op13_source_divergence,
     "pipeline": corpus_pipeline.run,

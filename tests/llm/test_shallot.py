@@ -7,8 +7,7 @@ import random
 import numpy as np
 import pytest
 
-from casebook.llm import queries, shallot
-from checks.compare import compare
+from casebook.llm import shallot
 
 SCHEMA = "vec_id long, embedding array<double>"
 
@@ -46,10 +45,6 @@ def clustered(spark, rows, **settings):
     return sorted(map(tuple, shallot.cluster_vectors(made, **settings).drop("centroid").collect()), key=str)
 
 
-def test_against_sql(spark, sf_dir):
-    assert compare(spark, queries.op12_shallot_clusters, shallot.ORACLE, sf_dir) is None
-
-
 @pytest.mark.parametrize("seed, k, dimension, spread", [(1, 5, 3, 1.0), (2, 16, 8, 4.0), (3, 40, 2, 0.05)])
 def test_equals_brute_force_with_ties_and_copies(spark, seed, k, dimension, spread):
     rng = random.Random(seed)
