@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from casebook.functions.text import first_filled
+from casebook.operators.block_search import search_index
 from casebook.operators.classify import (
     accept_matches,
     batch_model_replies,
@@ -56,6 +57,7 @@ from casebook.schemas import (
 )
 from casebook.sources.landed import first_seen, raw_projects
 from casebook.sources.search_results import cut
+from casebook.sources.term_store import TermStore
 
 Search = Callable[[DataFrame], DataFrame]
 Scorer = Callable[[pd.DataFrame], pd.Series]
@@ -102,17 +104,25 @@ def project_rows(
 
 
 def corpus_search(
-    corpus: DataFrame, text: str = "full_text", k: int = SEARCH_PAGE_SIZE, preview_chars: int | None = None, text_chars: int | None = None
+    corpus: DataFrame,
+    text: str = "full_text",
+    k: int = SEARCH_PAGE_SIZE,
+    preview_chars: int | None = None,
+    text_chars: int | None = None,
+    store: TermStore | None = None,
 ) -> Search:
     """Search over a documents table: BM25 hits with their best passages as document rows.
 
-    The index is written once and read by every stage of the search.
+    A standing index (`store`, kept up to date by its `update`) is searched where there is one; else an index of the
+    whole corpus is written once and read by every stage of the search.
     """
-    index = settle(term_index(corpus, text), "term-index")
-    stats = settle(corpus_stats(corpus, text), "corpus-stats")
+    if store is None:
+        index = settle(term_index(corpus, text), "term-index")
+        stats = settle(corpus_stats(corpus, text), "corpus-stats")
 
     def search(requests: DataFrame) -> DataFrame:
-        hits = settle(retrieve_top_k(requests, index, stats, k), "hits")
+        found = retrieve_top_k(requests, index, stats, k) if store is None else search_index(store, requests, k)
+        hits = settle(found, "hits")
         passages = extractive_passages(hits, requests, corpus, text)
         parts = F.array_join(
             F.filter(

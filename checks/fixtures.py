@@ -106,6 +106,7 @@ select 'prj_' || cast(l_orderkey as string) as project_id, l_orderkey as project
     "fx_attempts": """
 select project_id, count(*) as candidates, case when min(l_partkey) % 5 = 0 then 'search failed' else null end as error from fx_links group by project_id""",
     "fx_corpus": "select cast(doc_id as string) as document_id, text as full_text from documents",
+    "fx_lang_corpus": "select cast(doc_id as string) as document_id, text as full_text, lang from documents",
     "fx_searches": "select cast(item_id as string) as query_id, text as query from benchmark",
     "fx_page_texts": "select cast(doc_id as string) as project_id, lang, text as markdown from documents",
 }
