@@ -10,12 +10,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from casebook.operators.pages import replace_chunks, replace_pages, stored_chunks, stored_pages
+from casebook.operators.discovery import discovery_outcome
+from casebook.operators.pages import batch_outcome, replace_chunks, replace_pages, stored_chunks, stored_pages
 from casebook.operators.selection import mapped_project_counts, projects_for_processing
 from casebook.operators.upsert import assert_unique, upsert_candidates, upsert_documents, upsert_projects
 from casebook.sources.durable import settle, settle_counted
 from casebook.sources.store import append_table, load_table, merge_table
-from casebook.plans.steps import Scorer, Search, WikiSettings, Writer, classify, discover, write_pages
+from casebook.plans.steps import (
+    Scorer,
+    Search,
+    WikiSettings,
+    Writer,
+    classify,
+    discover_all,
+    failures_of,
+    write_all_pages,
+    write_pages,
+)
 from casebook.schemas import (
     CANDIDATES,
     CHUNKS,
@@ -40,7 +51,7 @@ SCHEMAS = {
     "errors": ERRORS,
 }
 Tables = dict[str, DataFrame]
-StepResult = tuple[Tables, int, int]
+StepResult = tuple[Tables, int, int, int]  # tables, rows read, rows written, error rows
 
 
 def empty_tables(spark: SparkSession) -> Tables:
@@ -53,6 +64,7 @@ class RunSettings:
 
     `clock` tells when steps begin and end. With `folder`, tables are stored there by name: rows with keys go into
     buckets, of which only the touched ones are rewritten, other rows are appended. Without it the run returns new tables.
+    With `resume`, steps that the run log has as finished under this run id are not done again.
     """
 
     run_id: str
@@ -69,6 +81,7 @@ class RunSettings:
     classifier_preview_chars: int | None = None
     error_message_chars: int | None = None
     folder: str | None = None
+    resume: bool = False
 
 
 class ErrorsFound(RuntimeError):
@@ -99,10 +112,10 @@ def load_tables(spark: SparkSession, folder: str) -> Tables:
     return {name: load_table(spark, folder, name, schema) for name, schema in SCHEMAS.items()}
 
 
-def _noted(tables: Tables, job: str, errors: DataFrame | None, settings: RunSettings) -> Tables:
-    """Tables with the error rows (key, error, record) of a step; in strict mode any of them ends the step."""
+def _noted(tables: Tables, job: str, errors: DataFrame | None, settings: RunSettings) -> tuple[Tables, int]:
+    """Tables with the error rows (key, error, record) of a step, and their number; in strict mode any of them ends the step."""
     if errors is None:
-        return tables
+        return tables, 0
     rows = errors.select(
         F.lit(settings.run_id).alias("run_id"), F.lit(job).alias("job_name"), *[F.col(c).cast("string") for c in ("key", "error", "record")]
     )
@@ -110,22 +123,41 @@ def _noted(tables: Tables, job: str, errors: DataFrame | None, settings: RunSett
     noted = tables | {"errors": _appended(tables, "errors", rows, settings)} if count else tables
     if count and settings.strict:
         raise ErrorsFound(job, count, noted)
-    return noted
+    return noted, count
+
+
+def _unless_all_failed(job: str, attempts: DataFrame | None, tables: Tables) -> None:
+    """A step whose every request failed is no success; others go on without the failed ones."""
+    if attempts is not None:
+        outcome = batch_outcome(attempts).first()
+        if outcome.status == "error":
+            raise ErrorsFound(job, outcome.projects_failed, tables)
 
 
 def sync_projects(tables: Tables, rows: DataFrame, settings: RunSettings, errors: DataFrame | None = None) -> StepResult:
-    tables = _noted(tables, JOB_NAMES[0], errors, settings)
+    tables, faults = _noted(tables, JOB_NAMES[0], errors, settings)
     rows, count = settle_counted(rows, "project-rows")
     assert_unique(rows, ["project_id"])
     merged = _merged(tables, "projects", ["project_id"], rows, lambda t: upsert_projects(t, rows, settings.as_of), settings)
-    return tables | {"projects": merged}, count, count
+    return tables | {"projects": merged}, count, count, faults
 
 
 def sync_documents(tables: Tables, search: Search, settings: RunSettings) -> StepResult:
+    """Queries that the search could not answer are error rows; the step fails when nothing at all was found because of them."""
     turn = projects_for_processing(tables["projects"], settings.mode, settings.project_limit)
     chosen, read = settle_counted(turn, "projects-in-turn")
-    documents, candidates = discover(chosen, search, settings.query_description_chars)
+    documents, candidates, failed = discover_all(chosen, search, settings.query_description_chars)
     candidates, found = settle_counted(candidates, "found-candidates")
+    failed = settle(failed, "failed-queries")
+    rows = failed.select(
+        F.col("project_id").alias("key"), F.concat(F.lit("search failed: "), "error").alias("error"), F.col("query").alias("record")
+    )
+    tables, faults = _noted(tables, JOB_NAMES[1], rows, settings)
+    if faults:
+        per_project = candidates.groupBy("project_id").agg(F.count("*").alias("candidates"))
+        attempts = failed.groupBy("project_id").agg(F.min("error").alias("error")).join(per_project, "project_id", "full")
+        if discovery_outcome(attempts.withColumn("error", F.when(F.col("candidates").isNull(), F.col("error")))).first().status == "error":
+            raise ErrorsFound(JOB_NAMES[1], faults, tables)
     documents = settle(documents, "found-documents")
     assert_unique(documents, ["document_id"])
     merged = {
@@ -137,45 +169,52 @@ def sync_documents(tables: Tables, search: Search, settings: RunSettings) -> Ste
             lambda t: upsert_candidates(t, candidates, settings.run_id, settings.as_of, ("query_ord",)), settings,
         ),
     }
-    return tables | merged, read, found
+    return tables | merged, read, found, faults
 
 
 def sync_mappings(tables: Tables, settings: RunSettings) -> StepResult:
-    """Reads what the classifier is given: at most k candidates a project, with existing documents."""
+    """Reads what the classifier is given: at most k candidates a project, with existing documents.
+
+    Projects at which the scorer fails are error rows; the step fails when it fails at all of them.
+    """
     chosen = projects_for_processing(tables["projects"], settings.mode, settings.project_limit)
-    found, errors, asked = classify(
+    found, errors, asked, attempts = classify(
         chosen, tables["candidates"], tables["documents"], settings.run_id, settings.as_of,
         settings.candidate_limit, settings.scorer, preview_chars=settings.classifier_preview_chars,
     )
     mappings, written = settle_counted(found, "mappings")
-    tables = _noted(tables, JOB_NAMES[2], errors, settings)
-    return tables | {"document_map": _appended(tables, "document_map", mappings, settings)}, asked.count(), written
+    tables, faults = _noted(tables, JOB_NAMES[2], errors, settings)
+    _unless_all_failed(JOB_NAMES[2], attempts, tables)
+    return tables | {"document_map": _appended(tables, "document_map", mappings, settings)}, asked.count(), written, faults
 
 
 def sync_pages(tables: Tables, settings: RunSettings) -> StepResult:
-    """Pages of the mapped projects; those that are no project are error rows."""
+    """Pages of the mapped projects; those that are no project, or whose page cannot be written, are error rows."""
     most_mapped = settle(mapped_project_counts(tables["document_map"], settings.project_limit), "mapped-projects")
     unknown = most_mapped.join(tables["projects"], "project_id", "left_anti").select(
         F.col("project_id").alias("key"), F.lit("mapped project not found").alias("error"), F.lit(None).alias("record")
     )
-    tables = _noted(tables, JOB_NAMES[3], unknown, settings)
+    tables, faults = _noted(tables, JOB_NAMES[3], unknown, settings)
     own = tables["projects"].join(most_mapped.select("project_id"), "project_id", "left_semi")
     chosen, _ = settle_counted(own, "page-projects")
-    state, _, written = _store(tables, chosen, settings)
-    return state, most_mapped.count(), written
+    state, _, written, failed = _store(tables, chosen, settings)
+    return state, most_mapped.count(), written, faults + failed
 
 
 def _store(tables: Tables, chosen: DataFrame, settings: RunSettings) -> StepResult:
-    written, count = settle_counted(
-        write_pages(chosen, tables["document_map"], tables["documents"], settings.as_of, settings.wiki, settings.writer),
-        "written-pages",
+    found, attempts = write_all_pages(
+        chosen, tables["document_map"], tables["documents"], settings.as_of, settings.wiki, settings.writer
     )
+    errors = None if attempts is None else failures_of(attempts, "page failed: ")
+    tables, faults = _noted(tables, JOB_NAMES[3], errors, settings)
+    _unless_all_failed(JOB_NAMES[3], attempts, tables)
+    written, count = settle_counted(found, "written-pages")
     pages, chunks = stored_pages(written), stored_chunks(written)
     stored = {
         "pages": _merged(tables, "pages", ["project_id"], pages, lambda t: replace_pages(t, pages), settings),
         "chunks": _merged(tables, "chunks", ["project_id"], pages, lambda t: replace_chunks(t, pages, chunks), settings),
     }
-    return tables | stored, count, count
+    return tables | stored, count, count, faults
 
 
 def full_sync(
@@ -187,7 +226,8 @@ def full_sync(
     Tables of older versions are read under the current schemas. What a step cannot use (`scan_errors` of the landed
     input, replies, projects) goes to the errors table, is counted in the step's message, and ends the step in strict mode.
     Between the steps the tables are written to the shared folder, so each step starts from files and no plan grows
-    over the run.
+    over the run. One bad row does not end a step: where a scorer, a writer or an isolating search fails, its row becomes an
+    error, and the step fails only when all do.
     """
     steps: list[tuple[str, Callable[[Tables], StepResult]]] = [
         (JOB_NAMES[0], lambda t: sync_projects(t, project_rows, settings, scan_errors)),
@@ -197,16 +237,19 @@ def full_sync(
     ]
     state = {name: _aligned(tables.get(name), spark, schema) for name, schema in SCHEMAS.items()}
     began = settings.clock()
+    finished = _finished(state, settings) if settings.resume else set()
     for job, step in steps:
+        if job in finished:
+            continue
         start = settings.clock()
         try:
-            state, read, written = step(state)
+            state, read, written, faults = step(state)
         except Exception as error:
             state = error.tables if isinstance(error, ErrorsFound) else state
             state = _logged(spark, state, job, settings, start, "error", message=str(error))
             state = _logged(spark, state, JOB_NAMES[4], settings, began, "error", message=f"Step {job} failed: {error}")
             raise StepFailed(job, state) from error
-        state = _logged(spark, state, job, settings, start, "success", read, written, _error_count(state, job, settings))
+        state = _logged(spark, state, job, settings, start, "success", read, written, f"{faults} errors" if faults else None)
     return _logged(spark, state, JOB_NAMES[4], settings, began, "success")
 
 
@@ -217,10 +260,10 @@ def _aligned(table: DataFrame | None, spark: SparkSession, schema: T.StructType)
     return table if table.schema.names == schema.names else align_to_schema(table, schema, fill_text=False)
 
 
-def _error_count(tables: Tables, job: str, settings: RunSettings) -> str | None:
-    own = (F.col("run_id") == settings.run_id) & (F.col("job_name") == job)
-    count = tables["errors"].filter(own).count()
-    return f"{count} errors" if count else None
+def _finished(tables: Tables, settings: RunSettings) -> set[str]:
+    """Steps that this run has finished; at most one name a step reaches the driver."""
+    own = (F.col("run_id") == settings.run_id) & (F.col("status") == "success")
+    return {r.job_name for r in tables["runs"].where(own).select("job_name").distinct().collect()}
 
 
 class StepFailed(RuntimeError):

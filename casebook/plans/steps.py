@@ -14,7 +14,6 @@ from casebook.functions.text import first_filled
 from casebook.operators.block_search import search_index
 from casebook.operators.classify import (
     accept_matches,
-    batch_model_replies,
     classifier_payload,
     evidence_score,
     mapping_rows,
@@ -33,9 +32,9 @@ from casebook.operators.discovery import (
     search_requests,
     with_results,
 )
+from casebook.operators.isolation import isolated_values
 from casebook.operators.normalize import budgeted_enrichment, normalize_projects
 from casebook.operators.pages import (
-    batch_generate,
     finalize_pages,
     no_source_pages,
     page_records,
@@ -151,7 +150,16 @@ def corpus_search(
 
 
 def discover(projects: DataFrame, search: Search, description_chars: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """Step 2: (document rows, candidate rows) found for the given projects.
+    """Step 2: (document rows, candidate rows) found for the given projects; see `discover_all`."""
+    return discover_all(projects, search, description_chars)[:2]
+
+
+def discover_all(
+    projects: DataFrame, search: Search, description_chars: int | None = None
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Document rows, candidate rows, and the queries (project_id, query, error) that the search could not answer.
+
+    A search that isolates failures marks them by a column `error`; the other queries of a project count all the same.
 
     Hits are ranked and chosen by their keys; texts of the results join the chosen ones.
 
@@ -159,6 +167,11 @@ def discover(projects: DataFrame, search: Search, description_chars: int | None
     """
     queries = project_queries(projects, description_chars)
     results = settle(search(search_requests(queries)), "search-results")
+    failed = queries.limit(0).select("project_id", "query", F.lit("").alias("error"))
+    if "error" in results.columns:
+        unanswered = results.where("error is not null").select(F.col("query_id").alias("query"), "error")
+        failed = queries.join(unanswered, "query").select("project_id", "query", "error")
+        results = results.where("error is null").drop("error")
     hits = hits_of_projects(queries, results.select("query_id", "result_pos", "document_id"))
     turn = F.struct(
         F.when(F.col("start_date").isNull(), 1).otherwise(0), -F.unix_date("start_date"), F.col("project_id")
@@ -169,6 +182,7 @@ def discover(projects: DataFrame, search: Search, description_chars: int | None
     return (
         with_results(discover_documents(ranked), results, described),
         with_results(discover_candidates(ranked), results, shown),
+        failed,
     )
 
 
@@ -182,11 +196,12 @@ def classify(
     scorer: Scorer | None = None,
     method: str = "evidence_rules",
     preview_chars: int | None = None,
-) -> tuple[DataFrame, DataFrame, DataFrame]:
+) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame | None]:
     """Step 3: rows for the document map, by the native rules or a user-supplied batch scorer.
 
-    Also returns errors (key, error, record): replies that cannot be read, scores that are no number, matches of documents
-    nobody asked about; and the (project_id, document_id) that were decided on.
+    Also returns errors (key, error, record): requests at which the scorer failed, replies that cannot be read, scores
+    that are no number, matches of documents nobody asked about; the (project_id, document_id) that were decided on; and
+    with a scorer the attempts (project_id, error).
     """
     links = settle(candidate_links(candidates.join(projects.select("project_id"), "project_id", "left_semi"), documents, k), "asked")
     asked = links.select("project_id", "document_id")
@@ -195,9 +210,11 @@ def classify(
         pairs = links.join(described, "document_id").join(project_facts(projects), "project_id")
         matches = evidence_score(pairs).withColumn("evidence", F.lit(None).cast("string"))
         errors = asked.limit(0).select(*[F.lit("").alias(c) for c in ("key", "error", "record")])
+        attempts = None
     else:
         payload = classifier_payload(projects, links.join(documents, "document_id"), preview_chars)
-        replies = settle(batch_model_replies(payload, scorer), "replies")
+        attempts = settle(isolated_values(payload, scorer, "reply"), "replies")
+        replies = attempts.where("error is null").drop("error")
         parsed = parse_replies(replies)
         matches = match_rows(parsed)
         unread = reply_errors(parsed, matches).join(replies, "project_id").select(
@@ -206,8 +223,15 @@ def classify(
         unasked = unasked_matches(matches, asked).select(
             F.col("project_id").alias("key"), F.lit("document was not asked about").alias("error"), F.col("document_id").alias("record")
         )
-        errors = unread.unionByName(unasked)
-    return mapping_rows(accept_matches(matches), method, run_id, as_of), errors, asked
+        errors = failures_of(attempts, "request failed: ").unionByName(unread).unionByName(unasked)
+    return mapping_rows(accept_matches(matches), method, run_id, as_of), errors, asked, attempts
+
+
+def failures_of(attempts: DataFrame, prefix: str) -> DataFrame:
+    """Error rows (key, error, record) of the attempts (project_id, error) that failed."""
+    return attempts.where("error is not null").select(
+        F.col("project_id").alias("key"), F.concat(F.lit(prefix), "error").alias("error"), F.lit(None).cast("string").alias("record")
+    )
 
 
 def write_pages(
@@ -218,7 +242,22 @@ def write_pages(
     settings: WikiSettings = WikiSettings(),
     writer: Writer | None = None,
 ) -> DataFrame:
-    """Step 4: page rows with chunks for the given projects, from their mapped documents."""
+    """Step 4: page rows with chunks for the given projects, from their mapped documents; a failing writer raises."""
+    pages, attempts = write_all_pages(projects, document_map, documents, as_of, settings, writer)
+    if attempts is not None and (failed := attempts.where("error is not null").first()):
+        raise RuntimeError(f"{failed.project_id}: {failed.error}")
+    return pages
+
+
+def write_all_pages(
+    projects: DataFrame,
+    document_map: DataFrame,
+    documents: DataFrame,
+    as_of: datetime,
+    settings: WikiSettings = WikiSettings(),
+    writer: Writer | None = None,
+) -> tuple[DataFrame, DataFrame | None]:
+    """The pages that could be written, and with a writer the attempts (project_id, error)."""
     own_map = document_map.join(projects.select("project_id"), "project_id", "left_semi")
     links = settle(mapped_links(own_map, documents), "page-links")
     best = links.filter(F.col("position") <= settings.source_limit)
@@ -230,8 +269,10 @@ def write_pages(
     sources = source_lists(source_rows(selected, documents, settings.content_chars))
     prompts = wiki_prompts(projects, sources, settings.org)
     if writer is None:
-        bodies = template_bodies(prompts)
+        bodies, attempts = template_bodies(prompts), None
     else:
-        bodies = batch_generate(prompts, writer).join(sources, "project_id")
+        attempts = settle(isolated_values(prompts.select("project_id", "prompt"), writer, "body"), "page-bodies")
+        bodies = attempts.where("error is null").drop("error").join(sources, "project_id")
     markdown = finalize_pages(bodies).unionByName(no_source_pages(projects, links, settings.org))
-    return page_records(projects, links, source_lists(named_sources(selected)), markdown, settings.model, as_of, settings.chunk_bytes)
+    named = source_lists(named_sources(selected))
+    return page_records(projects, links, named, markdown, settings.model, as_of, settings.chunk_bytes), attempts

@@ -222,6 +222,36 @@ def full_sync_errors(spark: SparkSession, sf: str) -> DataFrame:
     return tables["errors"].select("run_id", "job_name", "key", "error")
 
 
+def _number_of(ids: pd.Series) -> pd.Series:
+    return ids.str.slice(4).astype("int64")
+
+
+def _failing_scorer(batch: pd.DataFrame) -> pd.Series:
+    """A stand-in scorer that raises at every thirteenth project and takes the first document of the others."""
+    import json
+
+    if (_number_of(batch["project_id"]) % 13 == 5).any():
+        raise ValueError("no reply")
+    first = batch["documents"].map(lambda d: json.loads(d)[0]["document_id"])
+    match = {"decision": "strong_match", "confidence_score": 0.9, "reason": "first"}
+    return first.map(lambda d: json.dumps({"matches": [match | {"document_id": d}]}))
+
+
+def _failing_writer(batch: pd.DataFrame) -> pd.Series:
+    if (_number_of(batch["project_id"]) % 11 == 3).any():
+        raise ValueError("no page")
+    return "# " + batch["project_id"]
+
+
+def full_sync_failures(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages and errors of a run whose scorer and writer fail at some projects."""
+    settings = runs.RunSettings("run_1", AS_OF, wiki=SETTINGS, scorer=_failing_scorer, writer=_failing_writer)
+    tables = runs.full_sync(spark, runs.empty_tables(spark), _project_rows(spark, sf), landed_search(spark, sf), settings)
+    errors = tables["errors"].select("job_name", F.col("key").alias("project_id"), "error")
+    pages = tables["pages"].select(F.lit("wiki-generate").alias("job_name"), "project_id", F.lit(None).cast("string").alias("error"))
+    return errors.unionByName(pages)
+
+
 def landed_search(spark: SparkSession, sf: str):
     """Search results as landed files would give them: a query with an order's number finds its documents."""
     documents = _documents(spark, sf)
@@ -326,7 +356,7 @@ QUERIES = {
         title_features, doc_types, prefilter_sources, source_fallback, source_documents, source_table_md, background_paragraph,
         no_source_page, wiki_prompts, batch_generate, batch_generate_by_function, replace_sources_section, linkify_citations,
         finalize_pages, page_records, wiki_batch, full_sync, historical_sync, full_sync_run_log, single_project,
-        search_by_content, incremental_ingest, scan_errors, full_sync_errors,
+        search_by_content, incremental_ingest, scan_errors, full_sync_errors, full_sync_failures,
         full_sync_twice,
     )
 }
@@ -489,6 +519,10 @@ ORACLES = {
   (select distinct project_id, cast(substr(project_id, 5) as bigint) % 13 as kind from ex_run_decided
    where lower(status) not in ('done', 'completed', 'cancelled', 'closed', 'future')) p
   join (values (5, 'invalid JSON'), (6, 'score is no number'), (6, 'document was not asked about')) e(kind, error) on e.kind = p.kind""",
+    "full_sync_failures": """select case when n % 13 = 5 then 'taxonomy-sync' else 'wiki-generate' end as job_name, project_id,
+ case when n % 13 = 5 then 'request failed: ValueError: no reply' when n % 11 = 3 then 'page failed: ValueError: no page' end as error from
+ (select distinct project_id, cast(substr(project_id, 5) as bigint) as n from ex_run_decided
+  where lower(status) not in ('done', 'completed', 'cancelled', 'closed', 'future'))""",
     "single_project": f"""select {PAGE_COLUMNS} from ex_wiki_pages where project_id = (select project_id from fx_map group by project_id order by count(*) desc, project_id limit 1)""",
     "incremental_ingest": "select project_id, project_name, status, client_company, client_contacts, project_members, start_date from ex_landed",
 }
