@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from casebook.llm.common import mix, settle
 
@@ -134,21 +135,35 @@ def _slot_rows(probes: int, slots: int):
     return run
 
 
-def _predict(shared, new: tuple[str, str]):
+#: Bytes of text after which a batch of predictions is handed on.
+HANDED_ON = 4 << 20
+
+
+def _predict(shared, new: tuple[str, str], keep_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filters = shared.value
         for batch in batches:
-            found = [filters.predict(text.as_py()) for text in batch.column(batch.num_columns - 1)]
-            kept = [batch.column(i) for i in range(batch.num_columns - 1)]
-            names = [*batch.schema.names[:-1], *new]
-            yield pa.RecordBatch.from_arrays(
-                [*kept, pa.array([x for x, _ in found], pa.string()), pa.array([x for _, x in found], pa.float64())], names=names
-            )
+            texts, width = batch.column(batch.num_columns - 1), batch.num_columns - (not keep_text)
+            found: list[tuple[str, float]] = []
+            at, size = 0, 0
+            for i in range(batch.num_rows):
+                text = texts[i].as_py()
+                found.append(filters.predict(text))
+                size += len(text or "")
+                if size >= HANDED_ON or i + 1 == batch.num_rows:
+                    kept = [batch.column(j).slice(at, i + 1 - at) for j in range(width)]
+                    told = [pa.array([x for x, _ in found], pa.string()), pa.array([x for _, x in found], pa.float64())]
+                    yield pa.RecordBatch.from_arrays([*kept, *told], names=[*batch.schema.names[:width], *new])
+                    at, size, found = i + 1, 0, []
 
     return run
 
 
-def predict_languages(rows: DataFrame, filters: LanguageFilters, names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
-    """`rows`, whose last column is the text, with the predicted language and its score in its place."""
+def predict_languages(
+    rows: DataFrame, filters: LanguageFilters, names: tuple[str, str] = ("lang_pred", "score"), keep_text: bool = False
+) -> DataFrame:
+    """`rows`, whose last column is the text, with the predicted language and its score in its place, or behind it."""
     shared = rows.sparkSession.sparkContext.broadcast(filters)
-    return rows.mapInArrow(_predict(shared, names), rows.schema[:-1].add(names[0], "string").add(names[1], "double"))
+    kept = rows.schema if keep_text else rows.schema[:-1]
+    schema = StructType([*kept.fields, StructField(names[0], StringType()), StructField(names[1], DoubleType())])
+    return rows.mapInArrow(_predict(shared, names, keep_text), schema)

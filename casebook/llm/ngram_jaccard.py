@@ -5,8 +5,9 @@
    element hash into more than H parts, such sets agree in a whole part. So sets that share no part need no comparison.
    A part may be empty. A set with E empty parts and more than H + E parts in all shares a part that is not empty with
    every partner; so empty parts count only for sets where that fails.
-2. Sets that share a part key are tied to the first of them, inside a batch before anything is shuffled; the connected
-   groups of these ties hold every pair that can link.
+2. Sets that share a part key are tied: inside a batch before anything is shuffled, then in each range of keys. Either
+   hands on a forest, one row at most a set, that ties the sets of a group to the smallest; the connected groups of these
+   ties hold every pair that can link.
 3. A group is dealt into tiles of bounded size (all blocks of the group against each other). In a tile a bitmap of each
    set bounds the overlap from above: every bit that only one of the two has stands for an element the other lacks. Only
    pairs under the bound and not yet connected are intersected exactly.
@@ -106,9 +107,8 @@ def _sign(k: int, threshold: float):
                 packed.sort()
                 head = np.flatnonzero(np.diff(packed >> shift, prepend=~packed[:1] >> shift))
                 firsts = np.repeat(packed[head], np.diff(head, append=len(packed)))
-                tied = np.unique(((firsts & np.uint64(0xFFFF)) << shift) | (packed & np.uint64(0xFFFF)))
-                a, b = (tied >> shift).astype(np.int64), (tied & np.uint64(0xFFFF)).astype(np.int64)
-                yield _rows(a=base + a[a != b], b=base + b[a != b])
+                a, b = forest((firsts & np.uint64(0xFFFF)).astype(np.int64), (packed & np.uint64(0xFFFF)).astype(np.int64))
+                yield _rows(a=base + a, b=base + b)
                 once = packed[head]
                 cuts = np.searchsorted(once >> np.uint64(52), np.arange(_PARTS + 1, dtype=np.uint64))
                 full = [p for p in range(_PARTS) if cuts[p] < cuts[p + 1]]
@@ -132,8 +132,27 @@ def _rows(**columns) -> pa.RecordBatch:
     )
 
 
+def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Every node that the edges connect to a smaller one, with the smallest node of its component."""
+    nodes, ends = np.unique(np.concatenate([a, b]), return_inverse=True)
+    left, right = ends[: len(a)], ends[len(a) :]
+    label = np.arange(len(nodes))
+    while True:
+        low = np.minimum(label[left], label[right])
+        now = label.copy()
+        for end in (label[left], label[right]):  # the roots of both ends take the smaller name
+            np.minimum.at(now, end, low)
+        while not np.array_equal(step := now[now], now):
+            now = step
+        if (now == label).all():
+            break
+        label = now
+    tied = label != np.arange(len(nodes))
+    return nodes[label[tied]], nodes[tied]
+
+
 def _ties(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Ties between the nodes of equal keys in the parts that one task holds (each part is whole there)."""
+    """Ties of nodes to the smallest one of their group, by the keys of the parts that one task holds (each part is whole there)."""
     found: list[np.ndarray] = []
     nodes: list[np.ndarray] = []
     for batch in batches:
@@ -150,8 +169,8 @@ def _ties(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     key, node = key[order], node[order]
     head = np.flatnonzero(np.diff(key, prepend=~key[:1]))
     length = np.diff(head, append=len(key))
-    ties = np.stack([np.repeat(node[head], length), node])[:, np.repeat(length, length) > 1]
-    ties = np.unique(ties[:, ties[0] != ties[1]], axis=1)
+    shared = np.repeat(length, length) > 1
+    ties = np.stack(forest(np.repeat(node[head], length)[shared], node[shared]))
     for at in range(0, ties.shape[1], 100_000):
         yield pa.RecordBatch.from_arrays([pa.array(x[at : at + 100_000]) for x in ties], names=["a", "b"])
 

@@ -596,3 +596,23 @@ def test_thresholds_refine_the_boundary_bucket(spark):
     for s in "ab":
         taken = [sized.where(f"source = '{s}' and h <= {x[s].last}").agg(F.sum("size")).first()[0] or 0 for x in (whole, fine)]
         assert taken[0] == taken[1]
+
+
+def test_forest_ties_every_node_to_the_smallest_of_its_group():
+    from casebook.llm.ngram_jaccard import forest
+
+    rng = np.random.default_rng(3)
+    for n, edges in ((1, 3), (50, 30), (400, 380), (1000, 5000)):
+        a, b = rng.integers(0, n, (2, edges)) * 7
+        roots, nodes = forest(a, b)
+        near = {int(x): {int(x)} for x in np.concatenate([a, b])}
+        for x, y in zip(a.tolist(), b.tolist()):
+            if near[x] is not near[y]:
+                near[x] |= near[y]
+                for z in near[y]:
+                    near[z] = near[x]
+        assert dict(zip(nodes.tolist(), roots.tolist())) == {x: min(group) for x, group in near.items() if min(group) != x}
+    chain = np.arange(20_000)[::-1]
+    roots, nodes = forest(chain[1:], chain[:-1])
+    assert len(nodes) == 19_999 and not roots.any()
+    assert len(forest(np.zeros(0, np.int64), np.zeros(0, np.int64))[0]) == 0
