@@ -8,7 +8,8 @@
 2. Sets that share a part key are tied: inside a batch before anything is shuffled, then in each range of keys. Either
    hands on a forest, one row at most a set, that ties the sets of a group to the smallest; the connected groups of these
    ties hold every pair that can link.
-3. A group is dealt into tiles of bounded size (all blocks of the group against each other). In a tile a bitmap of each
+3. A group is dealt into tiles of bounded size: blocks of a size band against each other and against those of the next
+   band; a group that fits into one block is one tile. In a tile a bitmap of each
    set bounds the overlap from above: every bit that only one of the two has stands for an element the other lacks. Only
    pairs under the bound and not yet connected are intersected exactly.
 4. The links found connect documents; the smallest doc_id names each component.
@@ -31,6 +32,7 @@ from casebook.llm.common import components, mix, settle, word_hashes
 
 _STEP = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], dtype=np.uint64)
 _PARTS = 4096  # ranges of key hashes, by their twelve highest bits
+_TILE = "component:long,band:long,block:long,own:long,below:long,above:long"
 _SIGNED = "node long, doc_id long, n_shingles long, a long, b long, part int, first long, keys binary"
 
 
@@ -229,20 +231,53 @@ def link_tile(left: list[np.ndarray], right: list[np.ndarray] | None, percent: i
 
 def _tile(percent: int):
     def run(key: tuple[pa.Scalar, ...], whole: pa.Table) -> pa.Table:
-        blocks = np.array(whole["block"].to_pylist())
-        nodes = np.array(whole["node"].to_pylist())
-        sets = [np.frombuffer(x, dtype=np.uint64) for x in whole["elements"].to_pylist()]
-        low, high = key[1].as_py(), key[2].as_py()
-        left = np.flatnonzero(blocks == low)
-        right = np.flatnonzero(blocks == high) if low != high else None
-        names = nodes[left] if right is None else nodes[np.concatenate([left, right])]
-        pairs = link_tile([sets[i] for i in left], None if right is None else [sets[i] for i in right], percent)
+        upper = np.array(whole["upper"].to_pylist(), dtype=bool)
+        nodes = whole["node"].to_numpy()
+        sets = [np.frombuffer(x.as_py(), dtype=np.uint64) for x in whole["elements"]]
+        left, right = np.flatnonzero(~upper), np.flatnonzero(upper)
+        same = key[1].as_py() == key[3].as_py() and key[2].as_py() == key[4].as_py()
+        names = nodes[np.concatenate([left, right])]
+        pairs = link_tile([sets[i] for i in left], None if same else [sets[i] for i in right], percent)
         a, b = [int(names[i]) for i, _ in pairs], [int(names[j]) for _, j in pairs]
         return pa.Table.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     return run
 
 
+#: Tiles (low_band, low, high_band, high) of a set and whether it is on their upper side: the blocks of its own band, and
+#: those of the bands beside it.
+_TILES = """concat(
+    transform(sequence(0L, own - 1), o -> named_struct('low_band', band, 'low', least(block, o), 'high_band', band, 'high', greatest(block, o), 'upper', block > o)),
+    transform(if(below > 0, sequence(0L, below - 1), cast(array() as array<bigint>)),
+        o -> named_struct('low_band', band - 1, 'low', o, 'high_band', band, 'high', block, 'upper', true)),
+    transform(if(above > 0, sequence(0L, above - 1), cast(array() as array<bigint>)),
+        o -> named_struct('low_band', band, 'low', block, 'high_band', band + 1, 'high', o, 'upper', false))
+)"""
+
+
+def dealt_members(groups: DataFrame, sizes: DataFrame, threshold: float, block: int) -> DataFrame:
+    """(node, tile) of the sets of all groups; tile says the group, the set's band and block, and the blocks it has to meet.
+
+    A group of at most `block` sets is one tile. A larger one is dealt by size band, each band into blocks by hash, and
+    meets only blocks of its own band and of the bands beside it: no other sizes can reach the threshold.
+    """
+    ends = F.array(*[F.lit(int(e)) for e in bands(threshold, 1 << 40)])
+    band = F.size(F.filter(ends, lambda e: e <= F.col("n_shingles"))).cast("long")
+    banded = groups.join(sizes, "node").select("node", "component", band.alias("band"))
+    counts = banded.groupBy("component", "band").agg(F.count("*").alias("n"))
+    per_group = counts.groupBy("component").agg(
+        F.sum("n").alias("whole"), F.map_from_entries(F.collect_list(F.struct("band", F.ceil(F.col("n") / block).alias("blocks")))).alias("blocks")
+    )
+    placed = banded.join(per_group, "component").withColumn("one", F.col("whole") <= block)
+    at = lambda step: F.when(F.col("one"), 0).otherwise(F.coalesce(F.try_element_at("blocks", F.col("band") + step), F.lit(0))).cast("long")
+    counted = placed.select(
+        "node", "component", F.when(F.col("one"), 0).otherwise(F.col("band")).cast("long").alias("band"),
+        F.greatest(at(0), F.lit(1)).alias("own"), at(-1).alias("below"), at(1).alias("above"),
+    )
+    dealt = counted.withColumn("block", F.pmod(F.xxhash64("node"), F.col("own")))
+    return dealt.select("node", F.struct("component", "band", "block", "own", "below", "above").alias("tile"))
+
+
 def jaccard_components(documents: DataFrame, k: int = 5, percent: int = 80, block: int = 4000, part_bytes: int = 4 << 20) -> DataFrame:
     """doc_id, n_shingles and component_id of every document (see the module).
 
@@ -258,19 +293,14 @@ def jaccard_components(documents: DataFrame, k: int = 5, percent: int = 80, bloc
     across = packed.repartition(tasks, "part").mapInArrow(_ties, "a long, b long")
     ties = signed.where("a is not null").select("a", "b").union(across)
     groups = settle(components(ties, "shingle-ties"), "shingle-groups")
-    blocks = groups.groupBy("component").agg(F.ceil(F.count("*") / block).alias("blocks"))
-    members = groups.join(blocks, "component").select(
-        "node", "component", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).alias("block")
-    )
-    first = signed.where("doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    wanted = members.join(first, "node").select("doc_id", F.struct("component", "blocks", "block").alias("tile"), "node")
+    known = signed.where("doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n_shingles"))
+    members = dealt_members(groups, known.select("node", "n_shingles"), percent / 100, block)
+    wanted = members.join(known.select("node", "doc_id"), "node").select("doc_id", "tile", "node")
     texts = docs.join(wanted, "doc_id").select("node", "tile", "text")
-    sets = texts.mapInArrow(_arrays(k), "node long, tile struct<component:long,blocks:long,block:long>, elements binary")
-    other = F.explode(F.expr("sequence(0L, tile.blocks - 1)")).alias("other")
-    dealt = sets.select("node", "elements", "tile.component", "tile.block", other).select(
-        "component", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "elements"
-    )
-    links = dealt.groupBy("component", "low", "high").applyInArrow(_tile(percent), "a long, b long")
+    sets = texts.mapInArrow(_arrays(k), f"node long, tile struct<{_TILE}>, elements binary")
+    tiles = sets.select("node", "elements", "tile.*").select("component", "node", "elements", F.explode(F.expr(_TILES)).alias("at"))
+    dealt = tiles.select("component", "at.low_band", "at.low", "at.high_band", "at.high", "at.upper", "node", "elements")
+    links = dealt.groupBy("component", "low_band", "low", "high_band", "high").applyInArrow(_tile(percent), "a long, b long")
     named = settle(components(links, "shingle-links"), "shingle-components")
     of = signed.where("n_shingles is not null").select("node", "doc_id", "n_shingles")
     return name_components(of, named)

@@ -616,3 +616,18 @@ def test_forest_ties_every_node_to_the_smallest_of_its_group():
     roots, nodes = forest(chain[1:], chain[:-1])
     assert len(nodes) == 19_999 and not roots.any()
     assert len(forest(np.zeros(0, np.int64), np.zeros(0, np.int64))[0]) == 0
+
+
+def test_a_large_group_is_dealt_by_size_band(spark):
+    """Prefixes of one text, changed a little: one group of many sizes, with blocks of two sets."""
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(400)]
+    base = rng.choices(words, k=60)
+    rows = []
+    for i in range(150):
+        own = base[: rng.randint(25, 60)]
+        for _ in range(rng.randint(0, 3)):
+            own[rng.randrange(len(own))] = rng.choice(words)
+        rows.append((i, " ".join(own)))
+    got = jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), 2, 80, block=2).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_components(rows, 2, 80)
