@@ -191,8 +191,10 @@ def _arrays(k: int):
     return run
 
 
-def link_tile(left: list[np.ndarray], right: list[np.ndarray] | None, percent: int) -> list[tuple[int, int]]:
-    """Links that connect the sets of a tile: inside `left`, or between `left` and `right`, as a spanning forest.
+def link_tile(left: list[np.ndarray], right: list[np.ndarray] | None, percent: int, inner: bool = False) -> list[tuple[int, int]]:
+    """Links that connect the sets of a tile, as a spanning forest.
+
+    Compared are pairs inside `left`, or between `left` and `right`, with `inner` both.
 
     Numbers of `right` follow those of `left`. A pair links when 100 * intersection >= percent * union.
     """
@@ -213,7 +215,7 @@ def link_tile(left: list[np.ndarray], right: list[np.ndarray] | None, percent: i
         rest = np.arange(i + 1, stop)
         rest = rest[label[rest] != label[i]]
         if right is not None:
-            rest = rest[side[rest] != side[i]]
+            rest = rest[side[rest] | side[i]] if inner else rest[side[rest] != side[i]]
         if not len(rest):
             continue
         lack = np.bitwise_count(bits[i] & ~bits[rest]).sum(axis=1)
@@ -237,7 +239,7 @@ def _tile(percent: int):
         left, right = np.flatnonzero(~upper), np.flatnonzero(upper)
         same = key[1].as_py() == key[3].as_py() and key[2].as_py() == key[4].as_py()
         names = nodes[np.concatenate([left, right])]
-        pairs = link_tile([sets[i] for i in left], None if same else [sets[i] for i in right], percent)
+        pairs = link_tile([sets[i] for i in left], None if same else [sets[i] for i in right], percent, whole["inner"][0].as_py())
         a, b = [int(names[i]) for i, _ in pairs], [int(names[j]) for _, j in pairs]
         return pa.Table.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
@@ -245,13 +247,15 @@ def _tile(percent: int):
 
 
 #: Tiles (low_band, low, high_band, high) of a set and whether it is on their upper side: the blocks of its own band, and
-#: those of the bands beside it.
+#: those of the bands beside it. A band of one block below another has no tile of its own: it is compared in itself
+#: (`inner`) where it meets the first block of the next band.
 _TILES = """concat(
-    transform(sequence(0L, own - 1), o -> named_struct('low_band', band, 'low', least(block, o), 'high_band', band, 'high', greatest(block, o), 'upper', block > o)),
+    transform(if(own > 1 or above = 0, sequence(0L, own - 1), cast(array() as array<bigint>)),
+        o -> named_struct('low_band', band, 'low', least(block, o), 'high_band', band, 'high', greatest(block, o), 'upper', block > o, 'inner', false)),
     transform(if(below > 0, sequence(0L, below - 1), cast(array() as array<bigint>)),
-        o -> named_struct('low_band', band - 1, 'low', o, 'high_band', band, 'high', block, 'upper', true)),
+        o -> named_struct('low_band', band - 1, 'low', o, 'high_band', band, 'high', block, 'upper', true, 'inner', below = 1 and block = 0)),
     transform(if(above > 0, sequence(0L, above - 1), cast(array() as array<bigint>)),
-        o -> named_struct('low_band', band, 'low', block, 'high_band', band + 1, 'high', o, 'upper', false))
+        o -> named_struct('low_band', band, 'low', block, 'high_band', band + 1, 'high', o, 'upper', false, 'inner', own = 1 and o = 0))
 )"""
 
 
@@ -278,7 +282,7 @@ def dealt_members(groups: DataFrame, sizes: DataFrame, threshold: float, block:
     return dealt.select("node", F.struct("component", "band", "block", "own", "below", "above").alias("tile"))
 
 
-def jaccard_components(documents: DataFrame, k: int = 5, percent: int = 80, block: int = 4000, part_bytes: int = 4 << 20) -> DataFrame:
+def jaccard_components(documents: DataFrame, k: int = 5, percent: int = 80, block: int = 8000, part_bytes: int = 4 << 20) -> DataFrame:
     """doc_id, n_shingles and component_id of every document (see the module).
 
     `percent` is the similarity in hundredths, `block` the sets of a tile's side, `part_bytes` the packed keys that
@@ -299,7 +303,7 @@ def jaccard_components(documents: DataFrame, k: int = 5, percent: int = 80, bloc
     texts = docs.join(wanted, "doc_id").select("node", "tile", "text")
     sets = texts.mapInArrow(_arrays(k), f"node long, tile struct<{_TILE}>, elements binary")
     tiles = sets.select("node", "elements", "tile.*").select("component", "node", "elements", F.explode(F.expr(_TILES)).alias("at"))
-    dealt = tiles.select("component", "at.low_band", "at.low", "at.high_band", "at.high", "at.upper", "node", "elements")
+    dealt = tiles.select("component", "at.low_band", "at.low", "at.high_band", "at.high", "at.upper", "at.inner", "node", "elements")
     links = dealt.groupBy("component", "low_band", "low", "high_band", "high").applyInArrow(_tile(percent), "a long, b long")
     named = settle(components(links, "shingle-links"), "shingle-components")
     of = signed.where("n_shingles is not null").select("node", "doc_id", "n_shingles")
