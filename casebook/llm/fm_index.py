@@ -235,7 +235,7 @@ def _judged(ratio: int):
                 hit = sum(spans[1::2]) - sum(spans[::2])
                 out.append(
                     {
-                        "doc_id": row["doc_id"], "n_words": row["n_words"], "n_hit": hit, "n_items": len(items),
+                        "doc_id": row["doc_id"], "digest": row["digest"], "n_words": row["n_words"], "n_hit": hit, "n_items": len(items),
                         "items_sha256": hashlib.sha256(",".join(sorted(map(str, items))).encode()).hexdigest(),
                         "contaminated": hit > 0 and ratio * hit >= row["n_words"], "spans": spans, "items": items,
                     }
@@ -246,20 +246,23 @@ def _judged(ratio: int):
 
 
 _JUDGED = pa.schema(
-    [("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_hit", pa.int64()), ("n_items", pa.int64()), ("items_sha256", pa.string())]
+    [("doc_id", pa.int64()), ("digest", pa.string()), ("n_words", pa.int64()), ("n_hit", pa.int64()), ("n_items", pa.int64()), ("items_sha256", pa.string())]
     + [("contaminated", pa.bool_()), ("spans", pa.list_(pa.int64())), ("items", pa.list_(pa.int64()))]
 )
 JUDGED = (
-    "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, "
+    "doc_id long, digest string, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, "
     "spans array<long>, items array<long>"
 )
 
 
 def contamination(
     documents: DataFrame, benchmark: DataFrame, window: int = 13, ratio: int = 20, block_words: int = 1_000_000,
-    shard_symbols: int = 1_000_000, shard_documents: int = 5_000,
+    shard_symbols: int = 1_000_000, shard_documents: int = 5_000, digest: bool = False,
 ) -> DataFrame:
-    """Words, covered words, items, verdict and removal spans (flat from, to in words) of every document."""
+    """Words, covered words, items, verdict and removal spans (flat from, to in words) of every document.
+
+    With `digest`, the column of that name holds the SHA-256 of the text (null: empty), to tell rows of one doc_id apart.
+    """
     spark = documents.sparkSession
     items = benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("long").alias("item_id"), "text")
     words = items.agg(F.sum(F.length("text"))).first()[0] or 0
@@ -269,7 +272,7 @@ def contamination(
     for block in range(blocks):
         own = items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == block).collect()
         shared = spark.sparkContext.broadcast(Benchmark([(r.item_id, r.text.encode()) for r in own], window))
-        scan = _scan(shared, shard_symbols, shard_documents, block == 0, blocks > 1)
+        scan = _scan(shared, shard_symbols, shard_documents, block == 0, digest or blocks > 1)
         hits = rows.mapInArrow(scan, _HITS)
         if block == 0:
             found = hits

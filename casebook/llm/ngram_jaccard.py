@@ -14,8 +14,9 @@
    pairs under the bound and not yet connected are intersected exactly.
 4. The links found connect documents; the smallest doc_id names each component.
 
-Nulls and texts without words have no set and link with nothing. Rows that share a doc_id count as one document; rows
-without one are returned unlinked. Shingles are told apart by 64-bit hashes. Other columns are ignored.
+Nulls and texts without words have no set and link with nothing. Rows that share a doc_id are told apart by a digest of
+their text; rows without one are returned unlinked. Ids are integers. Shingles are told apart by 64-bit hashes. Other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,15 +26,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from casebook.llm.common import components, mix, settle, word_hashes
 
 _STEP = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], dtype=np.uint64)
 _PARTS = 4096  # ranges of key hashes, by their twelve highest bits
-_TILE = "component:long,band:long,block:long,own:long,below:long,above:long"
-_SIGNED = "node long, doc_id long, n_shingles long, a long, b long, part int, first long, keys binary"
+_SIGNED = "node long, doc_id long, digest long, n_shingles long, head boolean, a long, b long, part int, first long, keys binary"
 
 
 def shingles(words: np.ndarray, k: int) -> np.ndarray:
@@ -90,18 +90,19 @@ def _sign(k: int, threshold: float):
                 ids = batch.column(0)
                 texts = [(t or "").encode().translate(_LOWER) for t in batch.column(1).to_pylist()]
                 seen: dict[bytes, int] = {}
-                nodes, sizes, keys = [], [], []
+                nodes, sizes, heads, keys = [], [], [], []
                 for i, words in enumerate(word_hashes(texts)):
                     sets = shingles(words, k)
                     sizes.append(len(sets))
                     linked = len(sets) and ids[i].is_valid
                     node = seen.setdefault(sets.tobytes(), i) if linked else i
                     nodes.append(base + node if ids[i].is_valid else None)
-                    if linked and node == i:
+                    heads.append(bool(linked) and node == i)
+                    if heads[i]:
                         band = int(np.searchsorted(ends, len(sets), side="right")) - 1
                         own = part_keys(sets, band, ends, threshold)
                         keys.append((own & ~np.uint64(0xFFFF)) | np.uint64(i))
-                yield _rows(node=nodes, doc_id=ids, n_shingles=sizes)
+                yield _rows(node=nodes, doc_id=ids, digest=batch.column(2), n_shingles=sizes, head=heads)
                 if not keys:
                     continue
                 packed = np.concatenate(keys)
@@ -122,8 +123,8 @@ def _sign(k: int, threshold: float):
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _FIELDS = pa.schema(
-    [("node", pa.int64()), ("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("a", pa.int64()), ("b", pa.int64())]
-    + [("part", pa.int32()), ("first", pa.int64()), ("keys", pa.binary())]
+    [("node", pa.int64()), ("doc_id", pa.int64()), ("digest", pa.int64()), ("n_shingles", pa.int64()), ("head", pa.bool_())]
+    + [("a", pa.int64()), ("b", pa.int64()), ("part", pa.int32()), ("first", pa.int64()), ("keys", pa.binary())]
 )
 
 
@@ -177,18 +178,12 @@ def _ties(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(x[at : at + 100_000]) for x in ties], names=["a", "b"])
 
 
-def _arrays(k: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 2000):
-                part = batch.slice(at, 2000)
-                texts = [(t or "").encode().translate(_LOWER) for t in part.column(2).to_pylist()]
-                sets = [shingles(words, k).tobytes() for words in word_hashes(texts)]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array(sets, pa.binary())], names=["node", "tile", "elements"]
-                )
-
-    return run
+def _sets(texts: pa.ChunkedArray, k: int) -> list[np.ndarray]:
+    out = []
+    for at in range(0, len(texts), 2000):
+        blobs = [t.encode().translate(_LOWER) for t in texts.slice(at, 2000).to_pylist()]
+        out += [shingles(words, k) for words in word_hashes(blobs)]
+    return out
 
 
 def link_tile(left: list[np.ndarray], right: list[np.ndarray] | None, percent: int, inner: bool = False) -> list[tuple[int, int]]:
@@ -231,11 +226,11 @@ def link_tile(left: list[np.ndarray], right: list[np.ndarray] | None, percent: i
     return out
 
 
-def _tile(percent: int):
+def _tile(k: int, percent: int):
     def run(key: tuple[pa.Scalar, ...], whole: pa.Table) -> pa.Table:
         upper = np.array(whole["upper"].to_pylist(), dtype=bool)
         nodes = whole["node"].to_numpy()
-        sets = [np.frombuffer(x.as_py(), dtype=np.uint64) for x in whole["elements"]]
+        sets = _sets(whole["text"], k)
         left, right = np.flatnonzero(~upper), np.flatnonzero(upper)
         same = key[1].as_py() == key[3].as_py() and key[2].as_py() == key[4].as_py()
         names = nodes[np.concatenate([left, right])]
@@ -259,27 +254,32 @@ _TILES = """concat(
 )"""
 
 
-def dealt_members(groups: DataFrame, sizes: DataFrame, threshold: float, block: int) -> DataFrame:
-    """(node, tile) of the sets of all groups; tile says the group, the set's band and block, and the blocks it has to meet.
+def dealt_members(groups: DataFrame, sizes: DataFrame, threshold: float, block: int, held: int = 16 << 20) -> DataFrame:
+    """Rows of `sizes` (node, n_shingles and more) of all groups, with their tile in place of the size.
 
-    A group of at most `block` sets is one tile. A larger one is dealt by size band, each band into blocks by hash, and
-    meets only blocks of its own band and of the bands beside it: no other sizes can reach the threshold.
+    A tile says the group, the set's band and block, and the blocks it has to meet. A group of at most `block` sets with
+    `held` shingles is one tile. A larger one is dealt by size band, each band into blocks by hash that keep either
+    bound, and meets only blocks of its own band and of the bands beside it: no other sizes can reach the threshold.
     """
     ends = F.array(*[F.lit(int(e)) for e in bands(threshold, 1 << 40)])
     band = F.size(F.filter(ends, lambda e: e <= F.col("n_shingles"))).cast("long")
-    banded = groups.join(sizes, "node").select("node", "component", band.alias("band"))
-    counts = banded.groupBy("component", "band").agg(F.count("*").alias("n"))
+    others = [c for c in sizes.columns if c not in ("node", "n_shingles")]
+    banded = groups.join(sizes, "node").select("node", "component", band.alias("band"), "n_shingles", *others)
+    counts = banded.groupBy("component", "band").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("shingles"))
+    blocks = F.greatest(F.ceil(F.col("n") / block), F.ceil(F.col("shingles") / held))
     per_group = counts.groupBy("component").agg(
-        F.sum("n").alias("whole"), F.map_from_entries(F.collect_list(F.struct("band", F.ceil(F.col("n") / block).alias("blocks")))).alias("blocks")
-    )
-    placed = banded.join(per_group, "component").withColumn("one", F.col("whole") <= block)
+        F.sum("n").alias("whole"), F.sum("shingles").alias("shingles"),
+        F.map_from_entries(F.collect_list(F.struct("band", blocks.alias("blocks")))).alias("blocks"),
+    )
+    placed = banded.drop("n_shingles").join(per_group, "component")
+    placed = placed.withColumn("one", (F.col("whole") <= block) & (F.col("shingles") <= held))
     at = lambda step: F.when(F.col("one"), 0).otherwise(F.coalesce(F.try_element_at("blocks", F.col("band") + step), F.lit(0))).cast("long")
     counted = placed.select(
         "node", "component", F.when(F.col("one"), 0).otherwise(F.col("band")).cast("long").alias("band"),
-        F.greatest(at(0), F.lit(1)).alias("own"), at(-1).alias("below"), at(1).alias("above"),
+        F.greatest(at(0), F.lit(1)).alias("own"), at(-1).alias("below"), at(1).alias("above"), *others,
     )
     dealt = counted.withColumn("block", F.pmod(F.xxhash64("node"), F.col("own")))
-    return dealt.select("node", F.struct("component", "band", "block", "own", "below", "above").alias("tile"))
+    return dealt.select("node", F.struct("component", "band", "block", "own", "below", "above").alias("tile"), *others)
 
 
 def jaccard_components(documents: DataFrame, k: int = 5, percent: int = 80, block: int = 8000, part_bytes: int = 4 << 20) -> DataFrame:
@@ -288,8 +288,13 @@ def jaccard_components(documents: DataFrame, k: int = 5, percent: int = 80, bloc
     `percent` is the similarity in hundredths, `block` the sets of a tile's side, `part_bytes` the packed keys that
     one task should hold.
     """
+    return jaccard_rows(documents, k, percent, block, part_bytes).select("doc_id", "n_shingles", "component_id")
+
+
+def jaccard_rows(documents: DataFrame, k: int = 5, percent: int = 80, block: int = 8000, part_bytes: int = 4 << 20) -> DataFrame:
+    """`jaccard_components` with the digest of the text (`text_digest`) and the row's group (`component`), both long."""
     spark = documents.sparkSession
-    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", text_digest("text").alias("digest"))
     signed = settle(docs.mapInArrow(_sign(k, percent / 100), _SIGNED), "shingle-keys")
     packed = signed.where("part is not null").select("part", "first", "keys")
     held = packed.agg(F.sum(F.length("keys"))).first()[0] or 0
@@ -297,24 +302,27 @@ def jaccard_components(documents: DataFrame, k: int = 5, percent: int = 80, bloc
     across = packed.repartition(tasks, "part").mapInArrow(_ties, "a long, b long")
     ties = signed.where("a is not null").select("a", "b").union(across)
     groups = settle(components(ties, "shingle-ties"), "shingle-groups")
-    known = signed.where("doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n_shingles"))
-    members = dealt_members(groups, known.select("node", "n_shingles"), percent / 100, block)
-    wanted = members.join(known.select("node", "doc_id"), "node").select("doc_id", "tile", "node")
-    texts = docs.join(wanted, "doc_id").select("node", "tile", "text")
-    sets = texts.mapInArrow(_arrays(k), f"node long, tile struct<{_TILE}>, elements binary")
-    tiles = sets.select("node", "elements", "tile.*").select("component", "node", "elements", F.explode(F.expr(_TILES)).alias("at"))
-    dealt = tiles.select("component", "at.low_band", "at.low", "at.high_band", "at.high", "at.upper", "at.inner", "node", "elements")
-    links = dealt.groupBy("component", "low_band", "low", "high_band", "high").applyInArrow(_tile(percent), "a long, b long")
+    heads = signed.where("head").select("node", "n_shingles", "doc_id", "digest")  # one row of each node
+    wanted = dealt_members(groups, heads, percent / 100, block)
+    texts = docs.join(wanted, ["doc_id", "digest"]).select("node", "tile.*", "text")
+    # texts travel, not sets: they are less than half as large, and a tile shingles its own
+    tiles = texts.select("component", "node", "text", F.explode(F.expr(_TILES)).alias("at"))
+    dealt = tiles.select("component", "at.low_band", "at.low", "at.high_band", "at.high", "at.upper", "at.inner", "node", "text")
+    links = dealt.groupBy("component", "low_band", "low", "high_band", "high").applyInArrow(_tile(k, percent), "a long, b long")
     named = settle(components(links, "shingle-links"), "shingle-components")
-    of = signed.where("n_shingles is not null").select("node", "doc_id", "n_shingles")
-    return name_components(of, named)
+    return name_components(signed.where("n_shingles is not null").select("node", "doc_id", "digest", "n_shingles"), named)
+
+
+def text_digest(text: str) -> Column:
+    """What tells apart the texts of rows that share a doc_id."""
+    return F.xxhash64(text)
 
 
 def name_components(of: DataFrame, named: DataFrame) -> DataFrame:
-    """Rows of `of` (node, doc_id, n_shingles) with the smallest doc_id of their component."""
+    """Rows of `of` (node, doc_id, digest, n_shingles) with their component and its smallest doc_id."""
     placed = settle(
-        of.join(named, "node", "left").select("doc_id", "n_shingles", F.coalesce("component", "node").alias("component")),
+        of.join(named, "node", "left").select("doc_id", "digest", "n_shingles", F.coalesce("component", "node").alias("component")),
         "shingle-placed",
     )
     least = settle(placed.groupBy("component").agg(F.min("doc_id").alias("component_id")), "shingle-names")
-    return placed.join(least, "component", "left").select("doc_id", "n_shingles", "component_id")
+    return placed.join(least, "component", "left").select("doc_id", "n_shingles", "component_id", "digest", "component")

@@ -1,6 +1,7 @@
 """The registered queries: whole tables, the pipeline against brute force, and SQL where there is any."""
 
 import hashlib
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -84,3 +85,31 @@ def test_pipeline_of_no_documents(spark, tmp_path, sf_dir):
     table(spark, sf_dir, "documents").limit(0).write.parquet(f"{place}/documents.parquet")
     table(spark, sf_dir, "benchmark").limit(0).write.parquet(f"{place}/benchmark.parquet")
     assert corpus_pipeline.run(spark, place).count() == 0
+
+
+def test_pipeline_of_rows_that_share_ids_and_column_names(spark, tmp_path):
+    """Rows of one doc_id are judged by their own text, and columns named like the added ones stay."""
+    place = str(tmp_path)
+    words = [f"{a}{b}" for a in ("stone", "river", "cloud", "field") for b in ("ing", "er", "s", "ed", "ly", "ful", "less", "ness")]
+    rng = random.Random(5)
+    text = [" ".join(rng.choices(words, k=60)) for _ in range(6)]
+    near = text[0].replace(" ", "  ", 1)
+    rows = [(1, text[0]), (1, text[1]), (1, text[0]), (1, near), (2, near), (3, text[2]), (3, text[3]), (None, text[3]), (None, text[4])]
+    rows += [(4, ""), (4, None), (5, text[5]), (5, text[5])]
+    docs = spark.createDataFrame([(*r, "en", "s", 1, "x", "y", "z", "w") for r in rows],
+        "doc_id long, text string, lang string, source string, size int, target string, digest string, h string, taken string").repartition(4)
+    kept = corpus_pipeline.drop_near_copies(spark, docs, place)
+    assert kept.columns == docs.columns
+    got = sorted((str(r.doc_id), str(r.text)) for r in kept.collect())
+    first = [x for x in got if x[0] == "1" and x[1] in (text[0], near)]
+    assert len(first) == 1
+    rest = [("1", text[1]), ("3", text[2]), ("3", text[3]), ("None", text[3]), ("None", text[4]), ("4", ""), ("4", "None"), ("5", text[5])]
+    assert got == sorted(first + rest)
+    spark.createDataFrame([(9, text[3])], "item_id long, text string").write.parquet(f"{place}/benchmark.parquet")
+    clean = corpus_pipeline.drop_contaminated(spark, docs, place)
+    assert clean.columns == docs.columns
+    assert sorted((str(r.doc_id), str(r.text)) for r in clean.collect()) == sorted((str(i), str(t)) for i, t in rows if t != text[3])
+    mixed = corpus_pipeline.mix_by_source(spark, docs, place)
+    assert mixed.columns == [*docs.columns, "size_", "source_size", "target_", "taken_"]
+    row = mixed.where("doc_id = 2").first()
+    assert (row["size"], row["target"], row["h"], row["taken"], row["size_"]) == (1, "x", "z", "w", 60)
