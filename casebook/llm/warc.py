@@ -137,6 +137,18 @@ class _Window:
         return self.size
 
 
+    def find_blank_line(self, at: int) -> int:
+        """Where the next empty line ends a head, from `at`; -1 if nowhere in the file."""
+        step = 1 << 14
+        while at < self.size:
+            hit = self.read(at, min(step, self.size - at)).find(b"\r\n\r\n")
+            if hit >= 0:
+                return at + hit
+            at += max(1, min(step, self.size - at) - 3)
+            step = min(step << 1, self.step)
+        return -1
+
+
 class Damage(Exception):
     pass
 
@@ -158,13 +170,11 @@ def _unpacked(window: _Window, at: int) -> tuple[bytes, int]:
 
 def _plain(window: _Window, at: int) -> tuple[bytes, int]:
     """The plain record at a place, and where it ends."""
-    n = 1 << 14
-    while (end := window.read(at, min(n, window.size - at)).find(b"\r\n\r\n")) < 0:
-        if n >= min(1 << 20, window.size - at):
-            raise Damage("head has no end")
-        n <<= 1
-    head = _head(window.read(at, end))
-    length = end + 4 + _length(head) + 4
+    end = window.find_blank_line(at)
+    if end < 0:
+        raise Damage("head has no end")
+    head = _head(window.read(at, end - at))
+    length = end - at + 4 + _length(head) + 4
     if at + length > window.size:
         raise Damage("record ends early")
     return window.read(at, length), at + length
@@ -256,14 +266,26 @@ def _reader(with_payload: bool):
     return run
 
 
-def read_archives(archives: DataFrame, with_payload: bool = False) -> DataFrame:
-    """Records and damaged stretches (rows with `damage`) of the archives named in the column `archive`."""
-    spread = archives.select("archive").repartition("archive")
-    return spread.mapInArrow(_reader(with_payload), RECORDS)
+def read_archives(archives: DataFrame, with_payload: bool = False, task_bytes: int = 64 << 20) -> DataFrame:
+    """Records and damaged stretches (rows with `damage`) of the archives named in the column `archive`.
+
+    The tasks that read follow the column `bytes`, `task_bytes` each, and use all cores for less; without that column
+    every archive has a task. Their number is stated, as the file names alone would be merged into few tasks.
+    """
+    size = F.sum("bytes") if "bytes" in archives.columns else F.count("*") * task_bytes
+    files, held = archives.agg(F.count("*"), size).first()
+    least = archives.sparkSession.sparkContext.defaultParallelism
+    tasks = max(1, min(files, max(least, -(-int(held or 0) // task_bytes))))
+    return archives.select("archive").repartition(tasks).mapInArrow(_reader(with_payload), RECORDS)
+
+
+def read_back(archives: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Records without payloads, and the gaps (archive, from_byte, to_byte, damage): both stored by one reading."""
+    read = settle(read_archives(archives).drop("payload"), "warc-records")
+    return read.where("damage is null").drop("damage"), read.where("damage is not null").select("archive", "from_byte", "to_byte", "damage")
 
 
 def archived_pages(pages: DataFrame, least: int = 100) -> DataFrame:
     """Write `pages` to archives in the shared folder and read them back: a row per record."""
-    files = write_archives(pages, new_place(pages.sparkSession, "warc"), least)
-    records = read_archives(files).where("damage is null")
+    records, _ = read_back(write_archives(pages, new_place(pages.sparkSession, "warc"), least))
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")

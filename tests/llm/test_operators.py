@@ -631,3 +631,34 @@ def test_a_large_group_is_dealt_by_size_band(spark):
         rows.append((i, " ".join(own)))
     got = jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), 2, 80, block=2).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_components(rows, 2, 80)
+
+
+def test_archives_are_read_in_tasks_by_their_bytes(spark, tmp_path):
+    """1,000 archives of 64 MB by their listing have a task each; few small ones share the cores."""
+    listed = spark.createDataFrame([(f"file://{tmp_path}/{i}", 64 << 20) for i in range(1000)], "archive string, bytes long")
+    assert warc.read_archives(listed).rdd.getNumPartitions() == 1000
+    assert warc.read_archives(listed.drop("bytes")).rdd.getNumPartitions() == 1000
+    cores = spark.sparkContext.defaultParallelism
+    assert warc.read_archives(listed.select("archive", (F.col("bytes") / 64).cast("long").alias("bytes"))).rdd.getNumPartitions() == max(cores, 16)
+    assert warc.read_archives(listed.limit(0)).count() == 0
+
+
+def test_damaged_archives_give_records_and_a_table_of_gaps(spark, tmp_path):
+    rows = []
+    for i in range(3):
+        data = b"".join(gzip.compress(warc.record(10 * i + j, "u", b"x" * 200, hashlib.sha256(b"x" * 200).hexdigest(), None, "2024")) for j in range(3))
+        if i:
+            data = data[:60] + bytes(20) + data[80:]  # breaks the first record
+        (tmp_path / f"{i}.warc.gz").write_bytes(data)
+        rows.append((f"file://{tmp_path}/{i}.warc.gz", len(data)))
+    records, gaps = warc.read_back(spark.createDataFrame(rows, "archive string, bytes long"))
+    assert sorted(r.page_id for r in records.collect()) == [0, 1, 2, 11, 12, 21, 22]
+    assert sorted((r.archive, r.from_byte) for r in gaps.collect()) == [(name, 0) for name, _ in rows[1:]]
+    assert all(r.to_byte > r.from_byte and r.damage for r in gaps.collect())
+
+
+def test_a_plain_record_with_a_head_above_1_mb():
+    url = "u" * 3_000_000
+    plain = [warc.record(i, url, b"body", hashlib.sha256(b"body").hexdigest(), None, "2024") for i in range(2)]
+    found = list(warc.salvage(Archive(b"".join(plain))))
+    assert [(r["page_id"], r.get("damage")) for r in found] == [(0, None), (1, None)] and found[0]["url"] == url
