@@ -1,7 +1,8 @@
 """Toxicity by noisy-channel deobfuscation: restore disguised words, then score the restored text.
 
-1. A character trigram model is counted over the letters of all documents (trigrams rarer than `least_share` of all are
-   left to the bigrams; that bounds what the driver gathers).
+1. A character trigram model is counted over the letters of all documents. Pairs and single letters are summed from all
+   trigrams on Spark; trigrams seen fewer than `least_rows` times are then left to the pairs. The driver gathers 16 bytes
+   for each distinct one, which grows with the letters in use, more slowly than the text.
 2. A token that may be disguised becomes a lattice: look-alike digits and signs may stand for letters, runs of one
    character for one or two of it, letters kept apart by signs for one word, and letters kept apart by blanks for words
    whose bounds the decoding chooses. Every reading but the plain one
@@ -23,7 +24,8 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +44,7 @@ _WORD = re.compile(r"[^\W\d_]+")
 _OTHER = re.compile(r"[\W\d_]+")
 _APART = re.compile(r"[^\w@$!|+(]+|_+")
 _RUN = re.compile(r"(.)\1")
+_RUNS = re.compile(r"(.)\1*", re.DOTALL)
 _SPELLED = re.compile(rf"(?:[^\W\d_]|[{re.escape(''.join(LOOKALIKES))}])+")
 _EDGE = " \t\r\n\v\f.,;:?\"'`´*&%#~<>[]{})/\\=^…«»„“”-_"
 _SUBSTITUTE, _REPEAT = 1.5, 0.5  # what a look-alike and a shortened run cost, in nats
@@ -64,56 +67,82 @@ def _trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 held, size = [], 0
 
 
+_LETTER, _PAIR = (1 << 21) - 1, (1 << 42) - 1
+#: Tables of the letter model: the trigram, its first two letters, its last two, the middle one and the last one.
+_KINDS = ["gram", "shiftright(gram, 21)", f"gram & {_PAIR}", f"shiftright(gram, 21) & {_LETTER}", f"gram & {_LETTER}"]
+
+
+def _code(letters: str) -> int:
+    code = 0
+    for c in letters:
+        code = code << 21 | ord(c)
+    return code
+
+
 class LetterModel:
-    """Smoothed log probabilities of a letter after two others."""
+    """Smoothed log probabilities of a letter after two others; every table holds sorted codes and their counts."""
 
     def __init__(self, trigrams: dict[str, int], smooth: float = 5.0):
-        self.three, self.smooth = trigrams, smooth
-        self.two: dict[str, int] = {}
-        self.one: dict[str, int] = {}
-        self.before: dict[str, int] = {}
-        for gram, n in trigrams.items():
-            self.before[gram[:2]] = self.before.get(gram[:2], 0) + n
-            self.two[gram[1:]] = self.two.get(gram[1:], 0) + n
-            self.one[gram[2]] = self.one.get(gram[2], 0) + n
-        self.after: dict[str, int] = {}
-        for gram, n in self.two.items():
-            self.after[gram[0]] = self.after.get(gram[0], 0) + n
-        self.total = sum(self.one.values())
+        gram = np.array([_code(g) for g in trigrams], dtype=np.int64)
+        rows = np.array(list(trigrams.values()), dtype=np.int64)
+        self.smooth = smooth
+        self._hold([(codes, rows) for codes in (gram, gram >> 21, gram & _PAIR, gram >> 21 & _LETTER, gram & _LETTER)])
+
+    @classmethod
+    def of_tables(cls, tables: list[tuple[np.ndarray, np.ndarray]], smooth: float = 5.0) -> LetterModel:
+        """A model of (codes, counts) in the order of `_KINDS`."""
+        model = cls({}, smooth)
+        model._hold(tables)
+        return model
+
+    def _hold(self, tables: list[tuple[np.ndarray, np.ndarray]]) -> None:
+        self.tables = []
+        for codes, rows in tables:
+            once, at = np.unique(codes, return_inverse=True)
+            total = np.zeros(len(once), dtype=np.int64)
+            np.add.at(total, at, rows)
+            self.tables.append((once, total))
+        self.total = int(self.tables[4][1].sum())
         self.known: dict[str, float] = {}
 
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"known": {}}
+
+    def _rows(self, kind: int, letters: str) -> int:
+        codes, rows = self.tables[kind]
+        at = int(np.searchsorted(codes, code := _code(letters)))
+        return int(rows[at]) if at < len(codes) and codes[at] == code else 0
+
     def log(self, gram: str) -> float:
         found = self.known.get(gram)
         if found is None:
+            if len(self.known) > 500_000:
+                self.known.clear()
             k = self.smooth
-            p1 = (self.one.get(gram[2], 0) + 1) / (self.total + len(self.one) + 1)
-            p2 = (self.two.get(gram[1:], 0) + k * p1) / (self.after.get(gram[1], 0) + k)
-            p3 = (self.three.get(gram, 0) + k * p2) / (self.before.get(gram[:2], 0) + k)
+            p1 = (self._rows(4, gram[2]) + 1) / (self.total + len(self.tables[4][0]) + 1)
+            p2 = (self._rows(2, gram[1:]) + k * p1) / (self._rows(3, gram[1]) + k)
+            p3 = (self._rows(0, gram) + k * p2) / (self._rows(1, gram[:2]) + k)
             found = self.known[gram] = math.log(p3)
         return found
 
 
-def lattice(token: str) -> list[list[tuple[str, float]]]:
+@lru_cache(maxsize=1 << 16)
+def _options(letter: str, run: int) -> tuple[tuple[str, float], ...]:
+    """Readings and costs of a run of one character; a run of three stands for any longer one."""
+    plain = letter.isalpha()
+    cost = 0.0 if plain else _SUBSTITUTE
+    out = []
+    for x in letter if plain else LOOKALIKES.get(letter, ""):
+        out.append((x, cost + (_REPEAT if run > 1 else 0)))
+        if run > 1:
+            out.append((x * 2, cost + (_REPEAT if run > 2 else 0)))
+    return tuple(out)
+
+
+def lattice(token: str) -> list[tuple[tuple[str, float], ...]]:
     """For each run of one character in a token its readings and their costs; empty without a reading in letters."""
-    out, at = [], 0
-    while at < len(token):
-        end = at
-        while end < len(token) and token[end] == token[at]:
-            end += 1
-        run = end - at
-        plain = token[at].isalpha()
-        letters = token[at] if plain else LOOKALIKES.get(token[at], "")
-        cost = 0.0 if plain else _SUBSTITUTE
-        options = []
-        for letter in letters:
-            options.append((letter, cost + (_REPEAT if run > 1 else 0)))
-            if run > 1:
-                options.append((letter * 2, cost + (_REPEAT if run > 2 else 0)))
-        if not options:
-            return []
-        out.append(options)
-        at = end
-    return out
+    out = [_options(found.group(1), min(3, found.end() - found.start())) for found in _RUNS.finditer(token)]
+    return out if all(out) else []
 
 
 def decode(token: str, model: LetterModel, apart: bool = False) -> str | None:
@@ -122,9 +151,11 @@ def decode(token: str, model: LetterModel, apart: bool = False) -> str | None:
     if not steps:
         return None
     if apart:
+        parted = []
         for options in steps:
-            options += [(" ".join(x), cost) for x, cost in options if len(x) == 2]
-        steps = [x for options in steps for x in (options, [("", 0.0), (" ", 0.0)])][:-1]
+            parted.append((*options, *((" ".join(x), cost) for x, cost in options if len(x) == 2)))
+        steps = [x for options in parted for x in (options, (("", 0.0), (" ", 0.0)))][:-1]
+    known, log = model.known, model.log
     best: dict[str, tuple[float, tuple | None]] = {"  ": (0.0, None)}
     for options in [*steps, [(" ", 0.0)]]:
         following: dict[str, tuple[float, tuple | None]] = {}
@@ -132,8 +163,10 @@ def decode(token: str, model: LetterModel, apart: bool = False) -> str | None:
             for letters, cost in options:
                 total, last = score - cost, state
                 for c in letters:
-                    total += model.log(last + c)
-                    last = last[1] + c
+                    gram = last + c
+                    step = known.get(gram)
+                    total += log(gram) if step is None else step
+                    last = gram[1:]
                 if last not in following or total > following[last][0]:
                     following[last] = (total, (path, letters))
         best = following
@@ -166,31 +199,47 @@ def readings(token: str, model: LetterModel) -> tuple[str, ...]:
     return tuple(found)
 
 
-def restored_words(text: str | None, model: LetterModel, memo: dict[str, tuple[str, ...]]) -> set[str]:
-    """Distinct words of a text, restored ones included."""
+_NOTHING: tuple[bool, tuple[str, ...]] = (False, ())
+
+
+def restored_words(
+    text: str | None, model: LetterModel, memo: dict[str, tuple[bool, tuple[str, ...]]], keep: Callable[[str], float] | None = None
+) -> set[str]:
+    """Distinct words of a text, restored ones included, or those of them that `keep` accepts.
+
+    `memo` remembers for a token whether it is a single character and its words; it belongs to one model and `keep`.
+    """
     tokens = (text or "").lower().split()
     if len(memo) > 500_000:
         memo.clear()
     out: set[str] = set()
+    alone: set[str] = set()
     for token in set(tokens):
-        words = memo.get(token)
-        if words is None:
-            words = memo[token] = readings(token, model)
-        out.update(words)
-    cores = [t.strip(_EDGE) for t in tokens]
-    single = [len(t) < 2 for t in cores]
-    if sum(single) > 2:
+        known = memo.get(token)
+        if known is None:
+            words = readings(token, model)
+            if keep:
+                words = tuple(filter(keep, words))
+            single = len(token.strip(_EDGE)) < 2
+            known = memo[token] = (single, words) if single or words else _NOTHING
+        if known is _NOTHING:
+            continue
+        out.update(known[1])
+        if known[0]:
+            alone.add(token)
+    if alone and sum(token in alone for token in tokens) > 2:
         run: list[str] = []
-        for token, alone in zip([*cores, "  "], [*single, False]):
-            if alone:
-                run.append(token)
-            else:
+        for token in [*tokens, "  "]:  # blanks are no token: they end the last run
+            if token in alone:
+                run.append(token.strip(_EDGE))
+            elif run:
                 if len(run) > 2:
                     joined = "".join(run)
-                    out.update(readings(joined, model))
+                    words = [*readings(joined, model)]
                     for part in _SPELLED.findall(joined):
                         if any(map(str.isalpha, part)):
-                            out.update((decode(part, model, True) or "").split())
+                            words += (decode(part, model, True) or "").split()
+                    out.update(filter(keep, words) if keep else words)
                 run = []
     return out
 
@@ -203,41 +252,41 @@ def features(word: str) -> list[str]:
 class ToxicityModel:
     def __init__(self, letters: LetterModel, weights: dict[str, float], calibration: np.ndarray):
         self.letters, self.weights, self.calibration = letters, weights, calibration
-        self.memo: dict[str, tuple[str, ...]] = {}
-        self.best: dict[str, float] = {}
+        self.memo: dict[str, tuple[bool, tuple[str, ...]]] = {}
+        #: The first three letters of all beginnings that have a weight: other words need no look at their beginnings.
+        self.stems = {f[:3] for f in weights if f.endswith("-")}
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"memo": {}, "best": {}}
+        return self.__dict__ | {"memo": {}}
+
+    def weight(self, word: str) -> float:
+        """The largest weight of the word and its beginnings, 0 without any."""
+        if word[:3] in self.stems:
+            return max(self.weights.get(f, 0.0) for f in features(word))
+        return self.weights.get(word, 0.0)
 
     def traits(self, words) -> list[float]:
-        if len(self.best) > 1_000_000:
-            self.best.clear()
-        get, most, total = self.weights.get, 0.0, 0.0
-        for word in words:
-            weight = self.best.get(word)
-            if weight is None:
-                weight = self.best[word] = max(get(f, 0.0) for f in features(word))
-            if weight:
-                most, total = max(most, weight), total + weight
-        return [most, most * most, math.log1p(total)]
+        found = [w for w in map(self.weight, words) if w]
+        most = max(found, default=0.0)
+        return [most, most * most, math.log1p(math.fsum(found))]
 
     def of_words(self, words) -> float:
         z = self.calibration[0] + float(np.dot(self.calibration[1:], self.traits(words)))
         return 1 / (1 + math.exp(-min(30.0, max(-30.0, z))))
 
     def score(self, text: str | None) -> float:
-        return self.of_words(restored_words(text, self.letters, self.memo))
+        return self.of_words(restored_words(text, self.letters, self.memo, self.weight))
 
 
-def learn_letters(documents: DataFrame, least_share: float = 1e-6) -> LetterModel:
-    """The trigram model of all texts."""
+def learn_letters(documents: DataFrame, least_rows: int = 2) -> LetterModel:
+    """The trigram model of all texts; see the module for `least_rows`."""
     counted = documents.select("text").mapInArrow(_trigrams, "gram long, rows long")
     summed = settle(counted.groupBy("gram").agg(F.sum("rows").alias("rows")), "toxicity-trigrams")
-    total = summed.agg(F.sum("rows")).first()[0] or 0
-    kept = summed.where(F.col("rows") >= least_share * total).orderBy("gram").toArrow()  # at most 1 / least_share rows
-    low = (1 << 21) - 1
-    letters = ["".join(map(chr, (g >> 42, (g >> 21) & low, g & low))) for g in kept["gram"].to_pylist()]
-    return LetterModel(dict(zip(letters, kept["rows"].to_pylist())))
+    codes = F.array(*(F.struct(F.lit(i).alias("kind"), F.expr(kind).alias("code")) for i, kind in enumerate(_KINDS)))
+    tables = summed.select(F.explode(codes).alias("of"), "rows").groupBy("of.kind", "of.code").agg(F.sum("rows").alias("rows"))
+    gathered = tables.where((F.col("kind") > 0) | (F.col("rows") >= least_rows)).toArrow()
+    kind, code, rows = (gathered[c].to_numpy() for c in ("kind", "code", "rows"))
+    return LetterModel.of_tables([(code[kind == i], rows[kind == i]) for i in range(len(_KINDS))])
 
 
 def _words(shared):
@@ -271,17 +320,17 @@ def learn_toxicity(
     flat = np.array([math.log(max(share, 1e-6) / max(1 - share, 1e-6)), 0, 0, 0])
     if not toxic or not other:
         return ToxicityModel(letters, {}, flat)
-    word = F.col("word")
-    begins = F.transform(F.sequence(F.lit(3), F.least(F.lit(8), F.length(word))), lambda k: F.concat(F.substr(word, F.lit(1), k), F.lit("-")))
-    marks = F.concat(F.array(word), F.when(F.length(word) > 2, begins).otherwise(F.array().cast("array<string>")))
-    single = bags.where(~F.col("fits")).select("toxic", F.monotonically_increasing_id().alias("row"), F.explode("words").alias("word"))
-    each = single.select("toxic", "row", F.explode(marks).alias("feature")).distinct()
+    begins = lambda w: F.transform(F.sequence(F.lit(3), F.least(F.lit(8), F.length(w))), lambda k: F.concat(F.substr(w, F.lit(1), k), F.lit("-")))
+    marks = lambda w: F.concat(F.array(w), F.when(F.length(w) > 2, begins(w)).otherwise(F.array().cast("array<string>")))
+    once = F.array_distinct(F.flatten(F.transform("words", marks)))  # a document states each feature once, without a shuffle
+    each = bags.where(~F.col("fits")).select("toxic", F.monotonically_increasing_id().alias("row"), F.explode(once).alias("feature"))
     counts = each.groupBy("feature").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("o"))
     odds = F.log((F.col("t") + 0.5) / (toxic + 1)) - F.log((F.col("o") + 0.5) / (other + 1))
     weight = odds - margin * F.sqrt(1 / (F.col("t") + 0.5) + 1 / (F.col("o") + 0.5))
     counts = settle(counts, "toxicity-features")
     chance = math.log(max(2, counts.count()))  # what the best of so many features reaches by chance
     able = counts.where(F.col("t") * math.log((toxic + other) / toxic) >= chance).where(weight >= least).select("feature")
+    able = settle(able, "toxicity-able")  # written, so that its size decides how it is joined
     found = each.join(able, "feature").select("row", "toxic", "feature").toArrow()
     model = ToxicityModel(letters, pick_features(found, toxic, other, margin, least, chance), flat)
     fitted = bags.where("fits") if sizes.get((1, True)) and sizes.get((0, True)) else bags

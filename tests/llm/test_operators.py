@@ -4,6 +4,7 @@ import base64
 import gzip
 import hashlib
 import io
+import math
 import random
 import re
 import urllib.parse
@@ -22,7 +23,7 @@ from casebook.llm.language_filters import learn_filters, predict_languages
 from casebook.llm.ngram_jaccard import bands, jaccard_components, link_tile, part_keys, shingles
 from casebook.llm.pivot_index import near_vectors
 from casebook.llm.secret_layers import redact, scan, secret_spans
-from casebook.llm.toxicity import LetterModel, decode, learn_toxicity, readings, restored_words, score_toxicity
+from casebook.llm.toxicity import LetterModel, decode, lattice, learn_letters, learn_toxicity, readings, restored_words, score_toxicity
 
 COLUMNS = T.StructType(
     [T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("lang", T.StringType())]
@@ -430,6 +431,46 @@ def test_readings_of_spaced_and_plain_words():
     assert decode("12#4", model) is None
 
 
+@pytest.mark.parametrize("token", ["1d10t", "$tup1d", "l0$$er", "ggoood", "hhh0ou5e", "1|!", "t4bb1e", "leetttter", "s"])
+def test_decoding_against_all_paths(token):
+    """The reading found is as likely as the best of all paths through the lattice."""
+    model = letters()
+
+    def worth(word, cost):
+        running = f"  {word} "
+        return sum(model.log(running[i : i + 3]) for i in range(len(running) - 2)) - cost
+
+    paths = [("", 0.0)]
+    for options in lattice(token):
+        paths = [(word + more, cost + extra) for word, cost in paths for more, extra in options]
+    scores = defaultdict(lambda: float("-inf"))
+    for word, cost in paths:
+        scores[word] = max(scores[word], worth(word, cost))
+    assert scores[decode(token, model)] == pytest.approx(max(scores.values()))
+
+
+def test_letter_model_against_brute_force(spark):
+    """All trigrams count, those of a language with a thousandth of the text too."""
+    texts = [prose(i, 40, 300) for i in range(2000)] + ["hyv\u00e4\u00e4 p\u00e4iv\u00e4\u00e4", "hyv\u00e4\u00e4 y\u00f6t\u00e4", None, "", "12 !"]
+    model = learn_letters(table(spark, list(enumerate(texts))).repartition(3))
+    three, before, two, one = (defaultdict(int) for _ in range(4))
+    for text in texts:
+        found = "  " + " ".join(re.findall(r"[^\W\d_]+", (text or "").lower())) + " "
+        for i in range(len(found) - 2 if found.strip() else 0):
+            gram = found[i : i + 3]
+            for counts, key in ((three, gram), (before, gram[:2]), (two, gram[1:]), (one, gram[2])):
+                counts[key] += 1
+    after = defaultdict(int)
+    for pair, n in two.items():
+        after[pair[0]] += n
+    for gram in [*three, "zzz", "\u00e4\u00e4q"]:
+        p1 = (one[gram[2]] + 1) / (sum(one.values()) + len([x for x in one.values() if x]) + 1)
+        p2 = (two[gram[1:]] + 5 * p1) / (after[gram[1]] + 5)
+        seen = three[gram] if three[gram] >= 2 else 0
+        assert model.log(gram) == pytest.approx(math.log((seen + 5 * p2) / (before[gram[:2]] + 5)))
+    assert decode("hyv\u00e4\u00e4\u00e4\u00e4", model) == "hyv\u00e4\u00e4"
+
+
 @pytest.mark.parametrize(
     "text, word",
     [
