@@ -15,7 +15,7 @@ from casebook.operators.pages import batch_outcome, replace_chunks, replace_page
 from casebook.operators.selection import mapped_project_counts, projects_for_processing
 from casebook.operators.upsert import assert_unique, upsert_candidates, upsert_documents, upsert_projects
 from casebook.sources.durable import settle, settle_counted
-from casebook.sources.store import append_table, load_table, merge_table
+from casebook.sources.store import append_table, load_table, merge_table, rows_of_keys
 from casebook.plans.steps import (
     Scorer,
     Search,
@@ -298,3 +298,22 @@ def single_project(tables: Tables, project_id: str, settings: RunSettings) -> Da
     chosen = project_by_id(tables["projects"], project_id)
     own_map = tables["document_map"].filter(tables["document_map"]["project_id"] == project_id)
     return write_pages(chosen, own_map, tables["documents"], settings.as_of, settings.wiki, settings.writer)
+
+
+def stored_project(spark: SparkSession, project_id: str, settings: RunSettings) -> DataFrame:
+    """Page row of one project out of the stored tables in `settings.folder`.
+
+    Its own bucket of projects is read, and of documents the buckets of the mapped ids.
+    """
+
+    def looked_up(name: str, key: str, wanted: DataFrame) -> DataFrame:
+        return rows_of_keys(spark, settings.folder, name, SCHEMAS[name], [key], wanted)
+
+    document_map = load_table(spark, settings.folder, "document_map", SCHEMAS["document_map"])
+    own_map = settle(document_map.filter(F.col("project_id") == project_id), "own-map")
+    tables = {
+        "projects": looked_up("projects", "project_id", spark.createDataFrame([(project_id,)], "project_id string")),
+        "document_map": own_map,
+        "documents": looked_up("documents", "document_id", own_map.select("document_id").distinct()),
+    }
+    return single_project(tables, project_id, settings)

@@ -19,6 +19,8 @@ from casebook.sources.durable import new_place, settle
 from casebook.plans.steps import Dimensions, WikiSettings, corpus_search, project_rows, write_pages
 from casebook.sources.landed import read_pages, scan_pages
 from casebook.sources.search_results import search_result_errors
+from casebook.sources.store import append_table, merge_table
+from casebook.sources.tables import align_to_schema
 from casebook.streaming.ingest import newest_version, start_ingest
 from checks.discovery_checks import DEFINITIONS as DISCOVERY_DEFINITIONS
 from checks.discovery_checks import WORDS
@@ -314,6 +316,19 @@ def single_project(spark: SparkSession, sf: str) -> DataFrame:
     return _page_columns(runs.single_project(tables, project_id, settings))
 
 
+def stored_project(spark: SparkSession, sf: str) -> DataFrame:
+    """The same page out of stored tables, of which only the buckets of its keys are read."""
+    folder = new_place(spark, "stored-project")
+    projects, mapped, documents = fixture(spark, sf, "fx_projects"), fixture(spark, sf, "fx_map"), _documents(spark, sf)
+    for name, key, rows in (("projects", "project_id", projects), ("documents", "document_id", documents)):
+        rows = align_to_schema(rows, runs.SCHEMAS[name], fill_text=False)
+        merge_table(spark, folder, name, runs.SCHEMAS[name], [key], rows, lambda _, rows=rows: rows)
+    append_table(spark, folder, "document_map", align_to_schema(mapped, runs.SCHEMAS["document_map"], fill_text=False))
+    project_id = sel.mapped_project_counts(mapped, 1).first()["project_id"]
+    settings = runs.RunSettings("run_1", AS_OF, wiki=SETTINGS, folder=folder)
+    return _page_columns(runs.stored_project(spark, project_id, settings))
+
+
 def search_by_content(spark: SparkSession, sf: str) -> DataFrame:
     """Candidates that the own index finds for every open project in the corpus of documents.
 
@@ -357,7 +372,7 @@ QUERIES = {
         no_source_page, wiki_prompts, batch_generate, batch_generate_by_function, replace_sources_section, linkify_citations,
         finalize_pages, page_records, wiki_batch, full_sync, historical_sync, full_sync_run_log, single_project,
         search_by_content, incremental_ingest, scan_errors, full_sync_errors, full_sync_failures,
-        full_sync_twice,
+        full_sync_twice, stored_project,
     )
 }
 
@@ -524,5 +539,6 @@ ORACLES = {
  (select distinct project_id, cast(substr(project_id, 5) as bigint) as n from ex_run_decided
   where lower(status) not in ('done', 'completed', 'cancelled', 'closed', 'future'))""",
     "single_project": f"""select {PAGE_COLUMNS} from ex_wiki_pages where project_id = (select project_id from fx_map group by project_id order by count(*) desc, project_id limit 1)""",
+    "stored_project": f"""select {PAGE_COLUMNS} from ex_wiki_pages where project_id = (select project_id from fx_map group by project_id order by count(*) desc, project_id limit 1)""",
     "incremental_ingest": "select project_id, project_name, status, client_company, client_contacts, project_members, start_date from ex_landed",
 }

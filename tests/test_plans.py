@@ -177,3 +177,36 @@ def test_small_batch_leaves_other_buckets_alone(spark, tmp_path):
     kept = [p for p, t in before.items() if p.exists() and p.stat().st_mtime_ns == t]
     assert len(before) == 16 and len(kept) >= 14
     assert load_table(spark, folder, "missing", schema).count() == 0
+
+
+def test_lookup_reads_only_the_buckets_of_its_keys(spark, tmp_path):
+    from casebook.sources.store import merge_table, rows_of_keys
+
+    schema = T.StructType([T.StructField("id", T.StringType()), T.StructField("v", T.StringType())])
+    rows = spark.range(500).selectExpr("concat('k', id) id", "cast(id as string) v")
+    merge_table(spark, str(tmp_path), "t", schema, ["id"], rows, lambda _: rows, 16)
+    wanted = spark.createDataFrame([("k7",), ("k7",), ("nobody",), (None,)], "id string")
+    found = rows_of_keys(spark, str(tmp_path), "t", schema, ["id"], wanted, 16)
+    assert [tuple(r) for r in found.collect()] == [("k7", "7")]
+    assert len({r[0] for r in found.select(F.input_file_name()).collect()}) == 1
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [bucket" in plan
+    none = rows_of_keys(spark, str(tmp_path), "missing", schema, ["id"], wanted, 16)
+    assert none.count() == 0 and none.schema == schema
+
+
+def test_a_large_bucket_has_several_writing_tasks(spark, tmp_path):
+    from casebook.sources.store import merge_table
+
+    schema = T.StructType([T.StructField("id", T.StringType()), T.StructField("v", T.StringType())])
+    rows = spark.range(0, 40_000, 1, 8).selectExpr("concat('k', id) id", "sha2(cast(id as string), 256) v")
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "256k")
+    try:
+        after = merge_table(spark, str(tmp_path), "t", schema, ["id"], rows, lambda _: rows, 2)
+    finally:
+        spark.conf.set(name, before)
+    files = [len(list(folder.glob("*.parquet"))) for folder in (tmp_path / "t").glob("bucket=*")]
+    assert len(files) == 2 and min(files) > 1
+    assert after.count() == after.select("id").distinct().count() == 40_000
