@@ -210,3 +210,31 @@ def test_a_large_bucket_has_several_writing_tasks(spark, tmp_path):
     files = [len(list(folder.glob("*.parquet"))) for folder in (tmp_path / "t").glob("bucket=*")]
     assert len(files) == 2 and min(files) > 1
     assert after.count() == after.select("id").distinct().count() == 40_000
+
+
+def test_first_run_merges_without_a_join(spark):
+    rows = _rows(spark, 10)
+    merged = up.upsert_projects(runs.empty_tables(spark)["projects"], rows, datetime(2026, 1, 2))
+    assert not re.search("Join|Exchange", plan(merged))
+    assert merged.where("project_id is not null and imported_at is not null").count() == 10
+
+
+def test_results_join_the_hits_once(spark):
+    """The rows that give the documents are candidates, also where projects share a document or rank it differently."""
+    from casebook.plans.steps import discover_all
+
+    projects = spark.createDataFrame(
+        [("p1", "1", "A", "2024-01-02"), ("p2", "2", "A", "2024-03-02"), ("p3", "3", "B", None)],
+        "project_id string, project_no string, project_name string, start_date string",
+    ).selectExpr("project_id", "project_no", "project_name", "cast(start_date as date) start_date")
+    hits = [("A", 1, "d1"), ("A", 2, "d2"), ("1", 1, "d2"), ("2", 1, "d3"), ("3", 1, "d1"), ("3", 2, "d1")]
+    results = spark.createDataFrame([(q, n, d, f"{d} by {q} at {n}", f"text {q}") for q, n, d in hits], "query_id string, result_pos int, document_id string, title string, full_text string")
+    documents, candidates, _ = discover_all(projects, lambda requests: results)
+    assert {(r.document_id, r.title, r.full_text) for r in documents.collect()} == {
+        ("d1", "d1 by 3 at 1", "text 3"), ("d2", "d2 by 1 at 1", "text 1"), ("d3", "d3 by 2 at 1", "text 2")
+    }
+    assert sorted((r.project_id, r.document_id, r.rank) for r in candidates.collect()) == [
+        ("p1", "d1", 2), ("p1", "d2", 1), ("p2", "d1", 2), ("p2", "d2", 3), ("p2", "d3", 1), ("p3", "d1", 1)
+    ]
+    assert "decisive" not in documents.columns + candidates.columns and "full_text" not in candidates.columns
+    assert set(documents.inputFiles()) == set(candidates.inputFiles())
