@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +26,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def slices(batch: pa.RecordBatch, text: int, rows: int = 4000, held: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """A batch in slices of at most `rows` rows, which end with the row whose text (a column's number) fills `held` bytes."""
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < batch.num_rows:
+        full = np.searchsorted(sizes, (sizes[at - 1] if at else 0) + held) + 1
+        end = int(min(at + rows, batch.num_rows, full))
+        yield batch.slice(at, end - at)
+        at = end
+
+
 def fold_of(key: str, folds: int) -> Column:
     """crc32 of a key as text, modulo `folds`; a null key counts as the empty text."""
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit(""))) % folds

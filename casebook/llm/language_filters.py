@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from casebook.llm.common import mix, settle
+from casebook.llm.common import mix, settle, slices
 
 _OTHER = re.compile(r"[\W\d_]+")
 _STEP = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5], dtype=np.uint64)
@@ -53,8 +53,7 @@ def slots_of(hashes: np.ndarray, probes: int, slots: int) -> np.ndarray:
 def _counts(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, whole.num_rows, 4000):
-                batch = whole.slice(at, 4000)
+            for batch in slices(whole, 1):
                 by: dict[str, list[np.ndarray]] = {}
                 for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                     own = grams(text, n)

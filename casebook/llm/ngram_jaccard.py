@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from casebook.llm.common import components, mix, settle, word_hashes
+from casebook.llm.common import components, mix, settle, slices, word_hashes
 
 _STEP = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], dtype=np.uint64)
 _PARTS = 4096  # ranges of key hashes, by their twelve highest bits
@@ -83,8 +83,7 @@ def _sign(k: int, threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk = (TaskContext.get().partitionId() + 1) << 24
         for whole in batches:
-            for at in range(0, whole.num_rows, 4000):
-                batch = whole.slice(at, 4000)
+            for batch in slices(whole, 1):
                 chunk += 1
                 base = chunk << 16
                 ids = batch.column(0)

@@ -703,3 +703,19 @@ def test_a_plain_record_with_a_head_above_1_mb():
     plain = [warc.record(i, url, b"body", hashlib.sha256(b"body").hexdigest(), None, "2024") for i in range(2)]
     found = list(warc.salvage(Archive(b"".join(plain))))
     assert [(r["page_id"], r.get("damage")) for r in found] == [(0, None), (1, None)] and found[0]["url"] == url
+
+
+def test_long_texts_are_taken_in_slices_by_bytes():
+    """Memory of a Python worker follows the bytes it holds at a time, not only the rows."""
+    import pyarrow as pa
+
+    from casebook.llm.common import slices
+    from casebook.llm.language_filters import _counts
+
+    texts = ["a" * 10, None, "b" * 50, "", "c" * 120, None, "d" * 5, "e" * 95, "f"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(9)), pa.array(texts)], names=["doc_id", "text"])
+    cut = [s.column(0).to_pylist() for s in slices(batch, 1, rows=4, held=100)]
+    assert cut == [[0, 1, 2, 3], [4], [5, 6, 7], [8]]
+    assert [s.num_rows for s in slices(batch.slice(0, 0), 1)] == []
+    long = pa.RecordBatch.from_arrays([pa.array(["en"] * 3), pa.array(["some words " * 400_000] * 3)], names=["lang", "text"])
+    assert [max(b.column(2).to_pylist()) for b in _counts(4)([long])] == [1, 1, 1]
