@@ -253,7 +253,7 @@ _TILES = """concat(
 )"""
 
 
-def dealt_members(groups: DataFrame, sizes: DataFrame, threshold: float, block: int, held: int = 16 << 20) -> DataFrame:
+def dealt_members(groups: DataFrame, sizes: DataFrame, threshold: float, block: int, held: int = 4 << 20) -> DataFrame:
     """Rows of `sizes` (node, n_shingles and more) of all groups, with their tile in place of the size.
 
     A tile says the group, the set's band and block, and the blocks it has to meet. A group of at most `block` sets with

@@ -719,3 +719,13 @@ def test_long_texts_are_taken_in_slices_by_bytes():
     assert [s.num_rows for s in slices(batch.slice(0, 0), 1)] == []
     long = pa.RecordBatch.from_arrays([pa.array(["en"] * 3), pa.array(["some words " * 400_000] * 3)], names=["lang", "text"])
     assert [max(b.column(2).to_pylist()) for b in _counts(4)([long])] == [1, 1, 1]
+
+
+def test_a_tile_of_long_texts_is_dealt_by_its_shingles(spark):
+    from casebook.llm.ngram_jaccard import dealt_members
+
+    groups = spark.createDataFrame([(n, 1) for n in (1, 2, 3)], "node long, component long")
+    sizes = spark.createDataFrame([(n, 3_000_000) for n in (1, 2, 3)], "node long, n_shingles long")
+    assert {r.tile.own for r in dealt_members(groups, sizes, 0.8, 8000).collect()} == {3}
+    small = spark.createDataFrame([(n, 1_000_000) for n in (1, 2, 3)], "node long, n_shingles long")
+    assert {r.tile.own for r in dealt_members(groups, small, 0.8, 8000).collect()} == {1}
