@@ -238,3 +238,8 @@ def test_results_join_the_hits_once(spark):
     ]
     assert "decisive" not in documents.columns + candidates.columns and "full_text" not in candidates.columns
     assert set(documents.inputFiles()) == set(candidates.inputFiles())
+
+
+@pytest.mark.parametrize("name, parses", [("search_results_parse", 1), ("raw_projects_scan", 1), ("scan_errors", 2)])
+def test_every_input_is_parsed_once(spark, sf_dir, name, parses):
+    assert plan(registry.queries()[name](spark, sf_dir)).count("from_json(") == parses
