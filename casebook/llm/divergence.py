@@ -238,7 +238,8 @@ def counted_terms(
 
     kept = settle(held_by_sources(rows.select("*", no_split)), "audit-kept")
     ends = names.groupBy("digest").agg(F.min("term").alias("low"), F.max("term").alias("high"))
-    named = settle(ends.join(kept.select("digest").distinct(), "digest", "left_semi"), "audit-names")
+    # An inner join, because a semi join would be moved below the aggregation, where every task has rows of a common term.
+    named = settle(ends.join(kept.select("digest").distinct(), "digest"), "audit-names")
     collided = named.where("low <> high").select("digest")
     named = named.where("low = high").select("digest", no_split, F.col("low").alias("term"))
     if not collided.isEmpty():

@@ -67,6 +67,23 @@ def test_equals_brute_force_whatever_the_digests(spark, bits, held):
     assert audited(spark, rows, bits=bits, held=held, terms=held) == brute_audit(rows)
 
 
+def test_names_are_counted_together_before_they_meet_the_kept_terms(spark, monkeypatch):
+    """A common term has a row in every task; a semi join below the aggregation would hand on all of them."""
+    from casebook.llm import divergence
+
+    plans = {}
+
+    def noted(df, name):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return settle(df, name)
+
+    settle = divergence.settle
+    monkeypatch.setattr(divergence, "settle", noted)
+    rows = [("common words in every row", "en", "ab"[i % 2]) for i in range(40)]
+    assert audited(spark, rows) == brute_audit(rows)
+    assert "Join Inner" in plans["audit-names"] and "LeftSemi" not in plans["audit-names"]
+
+
 def test_ties_go_by_bytes_and_only_ten_ranks(spark):
     rows = [(" ".join(f"t{c}" for c in "zyxwvutsrqponmlk") + " é", "en", "a")] * 10 + [("other", "en", "b")] * 10
     found = audited(spark, rows)
