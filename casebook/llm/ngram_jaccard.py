@@ -153,28 +153,60 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[label[tied]], nodes[tied]
 
 
-def _ties(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Ties of nodes to the smallest one of their group, by the keys of the parts that one task holds (each part is whole there)."""
-    found: list[np.ndarray] = []
-    nodes: list[np.ndarray] = []
-    for batch in batches:
-        for part, first, packed in zip(*(c.to_pylist() for c in batch.columns)):
-            wide = np.full((len(packed) // 7, 8), part >> 4, dtype=np.uint8)
-            wide[:, :7] = np.frombuffer(packed, dtype=np.uint8).reshape(-1, 7)
-            own = wide.view(np.uint64).ravel()
-            found.append(own >> np.uint64(16))
-            nodes.append((own & np.uint64(0xFFFF)).astype(np.int64) + first)
-    if not found:
-        return
+def _ties(held: int, most: int = 1 << 20):
+    """Ties of nodes to the smallest one of their group, by the keys of the parts that one task holds.
+
+    Each part is whole in its task and its rows follow each other; parts are worked off when `held` bytes of keys have
+    come, and their ties made one forest whenever there are `most`. So a task hands on one row a node at most.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tied = [np.zeros((2, 0), dtype=np.int64)]
+        found: list[np.ndarray] = []
+        nodes: list[np.ndarray] = []
+        size, bound, last = 0, most, None
+        for batch in batches:
+            for part, first, packed in zip(*(c.to_pylist() for c in batch.columns)):
+                if part != last and size >= held:
+                    tied.append(_tied(found, nodes))
+                    found, nodes, size = [], [], 0
+                    if sum(t.shape[1] for t in tied) > bound:
+                        tied = [np.stack(forest(*np.concatenate(tied, axis=1)))]
+                        bound = max(most, 2 * tied[0].shape[1])
+                last, size = part, size + len(packed)
+                wide = np.full((len(packed) // 7, 8), part >> 4, dtype=np.uint8)
+                wide[:, :7] = np.frombuffer(packed, dtype=np.uint8).reshape(-1, 7)
+                own = wide.view(np.uint64).ravel()
+                found.append(own >> np.uint64(16))
+                nodes.append((own & np.uint64(0xFFFF)).astype(np.int64) + first)
+        if found:
+            tied.append(_tied(found, nodes))
+        ties = np.stack(forest(*np.concatenate(tied, axis=1)))
+        for at in range(0, ties.shape[1], 100_000):
+            yield pa.RecordBatch.from_arrays([pa.array(x[at : at + 100_000]) for x in ties], names=["a", "b"])
+
+    return run
+
+
+def _tied(found: list[np.ndarray], nodes: list[np.ndarray]) -> np.ndarray:
+    """The forest of the nodes that share a key."""
     key, node = np.concatenate(found), np.concatenate(nodes)
     order = np.argsort(key, kind="stable")
     key, node = key[order], node[order]
     head = np.flatnonzero(np.diff(key, prepend=~key[:1]))
     length = np.diff(head, append=len(key))
     shared = np.repeat(length, length) > 1
-    ties = np.stack(forest(np.repeat(node[head], length)[shared], node[shared]))
-    for at in range(0, ties.shape[1], 100_000):
-        yield pa.RecordBatch.from_arrays([pa.array(x[at : at + 100_000]) for x in ties], names=["a", "b"])
+    return np.stack(forest(np.repeat(node[head], length)[shared], node[shared]))
+
+
+def shared_keys(packed: DataFrame, part_bytes: int) -> DataFrame:
+    """Ties (a, b) of nodes by the keys of `packed` (part, first, keys).
+
+    The number of tasks is that of the shuffle and does not grow with the keys: a node may be tied in every one of them.
+    """
+    tasks = min(_PARTS, int(packed.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    whole = packed.repartition(tasks, "part").sortWithinPartitions("part")
+    return whole.mapInArrow(_ties(part_bytes), "a long, b long")
 
 
 def _sets(texts: pa.ChunkedArray, k: int) -> list[np.ndarray]:
@@ -285,7 +317,7 @@ def jaccard_components(documents: DataFrame, k: int = 5, percent: int = 80, bloc
     """doc_id, n_shingles and component_id of every document (see the module).
 
     `percent` is the similarity in hundredths, `block` the sets of a tile's side, `part_bytes` the packed keys that
-    one task should hold.
+    one task works on at a time.
     """
     return jaccard_rows(documents, k, percent, block, part_bytes).select("doc_id", "n_shingles", "component_id")
 
@@ -296,10 +328,7 @@ def jaccard_rows(documents: DataFrame, k: int = 5, percent: int = 80, block: int
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", text_digest("text").alias("digest"))
     signed = settle(docs.mapInArrow(_sign(k, percent / 100), _SIGNED), "shingle-keys")
     packed = signed.where("part is not null").select("part", "first", "keys")
-    held = packed.agg(F.sum(F.length("keys"))).first()[0] or 0
-    tasks = int(min(_PARTS, max(1, held // part_bytes, int(spark.conf.get("spark.sql.shuffle.partitions")))))
-    across = packed.repartition(tasks, "part").mapInArrow(_ties, "a long, b long")
-    ties = signed.where("a is not null").select("a", "b").union(across)
+    ties = signed.where("a is not null").select("a", "b").union(shared_keys(packed, part_bytes))
     groups = settle(components(ties, "shingle-ties"), "shingle-groups")
     heads = signed.where("head").select("node", "n_shingles", "doc_id", "digest")  # one row of each node
     wanted = dealt_members(groups, heads, percent / 100, block)

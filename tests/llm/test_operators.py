@@ -659,6 +659,17 @@ def test_forest_ties_every_node_to_the_smallest_of_its_group():
     assert len(forest(np.zeros(0, np.int64), np.zeros(0, np.int64))[0]) == 0
 
 
+def test_ties_of_a_node_grow_with_the_tasks_of_the_shuffle_alone(spark):
+    """30 copies that share keys in 400 parts, worked off part by part: at most one tie a node and task."""
+    from casebook.llm.ngram_jaccard import shared_keys
+
+    keys = lambda part, i: np.array([part << 52 | 7 << 16 | i], np.uint64).view(np.uint8)[:7].tobytes()
+    rows = [(part, chunk << 16, keys(part, i)) for part in range(400) for chunk in range(10) for i in range(3)]
+    packed = spark.createDataFrame(rows, "part int, first long, keys binary").repartition(8)
+    ties = shared_keys(packed, 1).collect()
+    assert len(ties) <= 8 * 29 and {(r.a, r.b) for r in ties} == {(0, (chunk << 16) + i) for chunk in range(10) for i in range(3)} - {(0, 0)}
+
+
 def test_a_large_group_is_dealt_by_size_band(spark):
     """Prefixes of one text, changed a little: one group of many sizes, with blocks of two sets."""
     rng = random.Random(3)
