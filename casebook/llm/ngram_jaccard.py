@@ -5,14 +5,16 @@
    element hash into more than H parts, such sets agree in a whole part. So sets that share no part need no comparison.
    A part may be empty. A set with E empty parts and more than H + E parts in all shares a part that is not empty with
    every partner; so empty parts count only for sets where that fails.
-2. Sets that share a part key are tied: inside a batch before anything is shuffled, then in each range of keys. Either
-   hands on a forest, one row at most a set, that ties the sets of a group to the smallest; the connected groups of these
-   ties hold every pair that can link.
+2. Equal sets link. They are told by a digest of the set, and the smallest of them stands for all: the others have no part
+   in what follows, so copies, which share every key, are not tied anew in every range of keys.
+   Of the rest, sets that share a part key are tied: inside a batch before anything is shuffled, then in each range of keys.
+   Either hands on a forest, one row at most a set, that ties the sets of a group to the smallest; the connected groups of
+   these ties hold every pair that can link.
 3. A group is dealt into tiles of bounded size: blocks of a size band against each other and against those of the next
    band; a group that fits into one block is one tile. In a tile a bitmap of each
    set bounds the overlap from above: every bit that only one of the two has stands for an element the other lacks. Only
    pairs under the bound and not yet connected are intersected exactly.
-4. The links found connect documents; the smallest doc_id names each component.
+4. The links found, and those of equal sets, connect documents; the smallest doc_id names each component.
 
 Nulls and texts without words have no set and link with nothing. Rows that share a doc_id are told apart by a digest of
 their text; rows without one are returned unlinked. Ids are integers. Shingles are told apart by 64-bit hashes. Other
@@ -21,6 +23,7 @@ columns are ignored.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,7 +36,10 @@ from casebook.llm.common import components, mix, settle, slices, word_hashes
 
 _STEP = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], dtype=np.uint64)
 _PARTS = 4096  # ranges of key hashes, by their twelve highest bits
-_SIGNED = "node long, doc_id long, digest long, n_shingles long, head boolean, a long, b long, part int, first long, keys binary"
+_RANGES = 256  # ranges of key hashes, by their highest byte, as a batch writes them
+_SIGNED = (
+    "node long, doc_id long, digest long, n_shingles long, head boolean, same binary, a long, b long, key_range int, first long, keys binary"
+)
 
 
 def shingles(words: np.ndarray, k: int) -> np.ndarray:
@@ -89,7 +95,7 @@ def _sign(k: int, threshold: float):
                 ids = batch.column(0)
                 texts = [(t or "").encode().translate(_LOWER) for t in batch.column(1).to_pylist()]
                 seen: dict[bytes, int] = {}
-                nodes, sizes, heads, keys = [], [], [], []
+                nodes, sizes, heads, same, keys = [], [], [], [], []
                 for i, words in enumerate(word_hashes(texts)):
                     sets = shingles(words, k)
                     sizes.append(len(sets))
@@ -97,11 +103,12 @@ def _sign(k: int, threshold: float):
                     node = seen.setdefault(sets.tobytes(), i) if linked else i
                     nodes.append(base + node if ids[i].is_valid else None)
                     heads.append(bool(linked) and node == i)
+                    same.append(hashlib.blake2b(sets.tobytes(), digest_size=16).digest() if heads[i] else None)
                     if heads[i]:
                         band = int(np.searchsorted(ends, len(sets), side="right")) - 1
                         own = part_keys(sets, band, ends, threshold)
                         keys.append((own & ~np.uint64(0xFFFF)) | np.uint64(i))
-                yield _rows(node=nodes, doc_id=ids, digest=batch.column(2), n_shingles=sizes, head=heads)
+                yield _rows(node=nodes, doc_id=ids, digest=batch.column(2), n_shingles=sizes, head=heads, same=same)
                 if not keys:
                     continue
                 packed = np.concatenate(keys)
@@ -112,10 +119,10 @@ def _sign(k: int, threshold: float):
                 a, b = forest((firsts & np.uint64(0xFFFF)).astype(np.int64), (packed & np.uint64(0xFFFF)).astype(np.int64))
                 yield _rows(a=base + a, b=base + b)
                 once = packed[head]
-                cuts = np.searchsorted(once >> np.uint64(52), np.arange(_PARTS + 1, dtype=np.uint64))
-                full = [p for p in range(_PARTS) if cuts[p] < cuts[p + 1]]
-                low = once.view(np.uint8).reshape(-1, 8)[:, :7]  # the part states the highest byte
-                yield _rows(part=full, first=[base] * len(full), keys=[low[cuts[p] : cuts[p + 1]].tobytes() for p in full])
+                cuts = np.searchsorted(once >> np.uint64(56), np.arange(_RANGES + 1, dtype=np.uint64))
+                full = [p for p in range(_RANGES) if cuts[p] < cuts[p + 1]]
+                low = once.view(np.uint8).reshape(-1, 8)[:, :7]  # the range states the highest byte
+                yield _rows(key_range=full, first=[base] * len(full), keys=[low[cuts[p] : cuts[p + 1]].tobytes() for p in full])
 
     return run
 
@@ -123,7 +130,7 @@ def _sign(k: int, threshold: float):
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _FIELDS = pa.schema(
     [("node", pa.int64()), ("doc_id", pa.int64()), ("digest", pa.int64()), ("n_shingles", pa.int64()), ("head", pa.bool_())]
-    + [("a", pa.int64()), ("b", pa.int64()), ("part", pa.int32()), ("first", pa.int64()), ("keys", pa.binary())]
+    + [("same", pa.binary()), ("a", pa.int64()), ("b", pa.int64()), ("key_range", pa.int32()), ("first", pa.int64()), ("keys", pa.binary())]
 )
 
 
@@ -153,6 +160,32 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[label[tied]], nodes[tied]
 
 
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (key_range, first, keys, gone) by part (part, first, keys), without the keys of the nodes `gone`.
+
+    A row's keys are sorted, and their part is stated by the range and the highest four bits that the row holds.
+    """
+    step = _PARTS // _RANGES
+    for batch in batches:
+        ranges, firsts, packed, gone = (c.to_pylist() for c in batch.columns)
+        parts, bases, keys = [], [], []
+        for key_range, first, blob, without in zip(ranges, firsts, packed, gone):
+            low = np.frombuffer(blob, dtype=np.uint8).reshape(-1, 7)
+            if without is not None:
+                away = np.zeros(1 << 16, dtype=bool)
+                away[without] = True
+                low = low[~away[low[:, 0].astype(np.int64) | low[:, 1].astype(np.int64) << 8]]
+            cuts = np.searchsorted(low[:, 6] >> 4, np.arange(step + 1))
+            for p in range(step):
+                if cuts[p] < cuts[p + 1]:
+                    parts.append(key_range * step + p)
+                    bases.append(first)
+                    keys.append(low[cuts[p] : cuts[p + 1]].tobytes())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(parts, pa.int32()), pa.array(bases, pa.int64()), pa.array(keys, pa.binary())], names=["part", "first", "keys"]
+        )
+
+
 def _ties(held: int, most: int = 1 << 20):
     """Ties of nodes to the smallest one of their group, by the keys of the parts that one task holds.
 
@@ -209,6 +242,23 @@ def shared_keys(packed: DataFrame, part_bytes: int) -> DataFrame:
     return whole.mapInArrow(_ties(part_bytes), "a long, b long")
 
 
+def equal_sets(heads: DataFrame) -> DataFrame:
+    """(a, b): every node b of `heads` (node, same) that an equal set with the smaller node a stands for."""
+    first = heads.groupBy("same").agg(F.min("node").alias("a"), F.count("*").alias("n")).where("n > 1").drop("n")
+    return heads.join(first, "same").where("node > a").select("a", F.col("node").alias("b"))
+
+
+def keys_by_part(ranges: DataFrame, gone: DataFrame) -> DataFrame:
+    """(part, first, keys) of all rows of `ranges` (key_range, first, keys) without the nodes `b` of `gone`.
+
+    The nodes of a batch are listed in one row, so the list is as long as a batch at most.
+    """
+    of_batch = F.col("b").bitwiseAND(F.lit(~0xFFFF)).alias("first")
+    listed = gone.select(of_batch, F.col("b").bitwiseAND(0xFFFF).cast("int").alias("i")).groupBy("first").agg(F.collect_list("i").alias("gone"))
+    joined = ranges.join(listed, "first", "left").select("key_range", "first", "keys", "gone")
+    return joined.mapInArrow(_parts, "part int, first long, keys binary")
+
+
 def _sets(texts: pa.ChunkedArray, k: int) -> list[np.ndarray]:
     out = []
     for at in range(0, len(texts), 2000):
@@ -327,17 +377,20 @@ def jaccard_rows(documents: DataFrame, k: int = 5, percent: int = 80, block: int
     spark = documents.sparkSession
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", text_digest("text").alias("digest"))
     signed = settle(docs.mapInArrow(_sign(k, percent / 100), _SIGNED), "shingle-keys")
-    packed = signed.where("part is not null").select("part", "first", "keys")
-    ties = signed.where("a is not null").select("a", "b").union(shared_keys(packed, part_bytes))
+    copies = settle(equal_sets(signed.where("head").select("node", "same")), "shingle-copies")
+    packed = keys_by_part(signed.where("key_range is not null").select("key_range", "first", "keys"), copies)
+    # Of a key that several sets of a batch have, one entry left it; where that one's node is gone, its equal set has the key.
+    ties = signed.where("a is not null").select("a", "b").union(copies).union(shared_keys(packed, part_bytes))
     groups = settle(components(ties, "shingle-ties"), "shingle-groups")
     heads = signed.where("head").select("node", "n_shingles", "doc_id", "digest")  # one row of each node
+    heads = heads.join(copies.select(F.col("b").alias("node")), "node", "left_anti")
     wanted = dealt_members(groups, heads, percent / 100, block)
     texts = docs.join(wanted, ["doc_id", "digest"]).select("node", "tile.*", "text")
     # texts travel, not sets: they are less than half as large, and a tile shingles its own
     tiles = texts.select("component", "node", "text", F.explode(F.expr(_TILES)).alias("at"))
     dealt = tiles.select("component", "at.low_band", "at.low", "at.high_band", "at.high", "at.upper", "at.inner", "node", "text")
     links = dealt.groupBy("component", "low_band", "low", "high_band", "high").applyInArrow(_tile(k, percent), "a long, b long")
-    named = settle(components(links, "shingle-links"), "shingle-components")
+    named = settle(components(links.union(copies), "shingle-links"), "shingle-components")
     return name_components(signed.where("n_shingles is not null").select("node", "doc_id", "digest", "n_shingles"), named)
 
 

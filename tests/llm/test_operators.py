@@ -670,6 +670,28 @@ def test_ties_of_a_node_grow_with_the_tasks_of_the_shuffle_alone(spark):
     assert len(ties) <= 8 * 29 and {(r.a, r.b) for r in ties} == {(0, (chunk << 16) + i) for chunk in range(10) for i in range(3)} - {(0, 0)}
 
 
+def test_copies_are_not_tied_in_every_range_of_keys(spark, monkeypatch):
+    """Copies in all partitions are linked as equal sets; what lies near a copy is found through the set that stands for it."""
+    from casebook.llm import ngram_jaccard
+
+    texts = [prose(900 + i, 120) for i in range(4)]
+    rows = [(10 * n + i, text) for n in range(12) for i, text in enumerate(texts)]
+    rows += [(1000 + 10 * n + i, edited(text, 7 * n + i, 1)) for n in range(3) for i, text in enumerate(texts)]
+    tied = []
+    whole = ngram_jaccard.shared_keys
+    monkeypatch.setattr(ngram_jaccard, "shared_keys", lambda packed, size: tied.append(whole(packed, size).cache()) or tied[-1])
+    found = jaccard_components(table(spark, rows, 12), k=3, percent=80).collect()
+    assert {r.doc_id: r.component_id for r in found} == {doc_id: doc_id % 10 for doc_id, _ in rows}
+    # 8 tasks: the 44 copies made some 350 ties; the 12 edited texts make one in each task at most, as do the four first ones
+    assert tied[0].count() <= 8 * (12 + 4)
+    # in one batch an edited text and a copy of a text that another batch holds first
+    first, late = prose(950, 120), prose(951, 120)
+    batches = [[(1, first)], [(2, first), (3, edited(first, 5, 1))], [(4, edited(first, 6, 1)), (5, late)]]
+    parts = [table(spark, batch, 1) for batch in batches]
+    found = jaccard_components(parts[0].union(parts[1]).union(parts[2]), k=3, percent=80).collect()
+    assert {r.doc_id: r.component_id for r in found} == {1: 1, 2: 1, 3: 1, 4: 1, 5: 5}
+
+
 def test_a_large_group_is_dealt_by_size_band(spark):
     """Prefixes of one text, changed a little: one group of many sizes, with blocks of two sets."""
     rng = random.Random(3)
