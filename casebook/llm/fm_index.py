@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casebook.llm.common import settle
+from casebook.llm.common import lean, settle
 
 #: Lower-cases A-Z and turns every byte that is no word byte into a blank.
 _WORD_BYTES = bytes(
@@ -245,6 +245,15 @@ def _judged(ratio: int):
     return run
 
 
+def _both(first, then):
+    """Two functions for mapInArrow as one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from then(first(batches))
+
+    return run
+
+
 _JUDGED = pa.schema(
     [("doc_id", pa.int64()), ("digest", pa.string()), ("n_words", pa.int64()), ("n_hit", pa.int64()), ("n_items", pa.int64()), ("items_sha256", pa.string())]
     + [("contaminated", pa.bool_()), ("spans", pa.list_(pa.int64())), ("items", pa.list_(pa.int64()))]
@@ -272,7 +281,9 @@ def contamination(
     for block in range(blocks):
         own = items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == block).collect()
         shared = spark.sparkContext.broadcast(Benchmark([(r.item_id, r.text.encode()) for r in own], window))
-        scan = _scan(shared, shard_symbols, shard_documents, block == 0, digest or blocks > 1)
+        scan = lean(_scan(shared, shard_symbols, shard_documents, block == 0, digest or blocks > 1))
+        if blocks == 1:  # nothing to merge: judged where it is found, by the same worker
+            return rows.mapInArrow(_both(scan, _judged(ratio)), JUDGED)
         hits = rows.mapInArrow(scan, _HITS)
         if block == 0:
             found = hits

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from casebook.llm.common import mix, settle, slices
+from casebook.llm.common import lean, mix, settle, slices
 
 _OTHER = re.compile(r"[\W\d_]+")
 _STEP = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5], dtype=np.uint64)
@@ -106,7 +106,7 @@ def learn_filters(
     languages, totals = [r[0] for r in by], [r[1] for r in by]
     if not languages:
         return LanguageFilters([], 0, np.zeros((slots, 1), dtype=np.uint64), n, probes)
-    counted = rows.mapInArrow(_counts(n), "lang string, gram long, rows long").groupBy("lang", "gram").agg(F.sum("rows").alias("rows"))
+    counted = rows.mapInArrow(lean(_counts(n)), "lang string, gram long, rows long").groupBy("lang", "gram").agg(F.sum("rows").alias("rows"))
     known = documents.sparkSession.createDataFrame(list(zip(languages, range(len(languages)), totals)), "lang string, number int, total long")
     rated = counted.join(known, "lang").select("gram", "number", (F.col("rows") / F.col("total")).alias("rate"))
     frequent = settle(rated.where(F.col("rate") >= share), "language-grams")
@@ -165,4 +165,4 @@ def predict_languages(
     shared = rows.sparkSession.sparkContext.broadcast(filters)
     kept = rows.schema if keep_text else rows.schema[:-1]
     schema = StructType([*kept.fields, StructField(names[0], StringType()), StructField(names[1], DoubleType())])
-    return rows.mapInArrow(_predict(shared, names, keep_text), schema)
+    return rows.mapInArrow(lean(_predict(shared, names, keep_text)), schema)

@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from casebook.llm.common import components, mix, settle, slices, word_hashes
+from casebook.llm.common import components, give_back, lean, mix, settle, slices, word_hashes
 
 _STEP = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], dtype=np.uint64)
 _PARTS = 4096  # ranges of key hashes, by their twelve highest bits
@@ -239,7 +239,7 @@ def shared_keys(packed: DataFrame, part_bytes: int) -> DataFrame:
     """
     tasks = min(_PARTS, int(packed.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     whole = packed.repartition(tasks, "part").sortWithinPartitions("part")
-    return whole.mapInArrow(_ties(part_bytes), "a long, b long")
+    return whole.mapInArrow(lean(_ties(part_bytes)), "a long, b long")
 
 
 def equal_sets(heads: DataFrame) -> DataFrame:
@@ -256,7 +256,7 @@ def keys_by_part(ranges: DataFrame, gone: DataFrame) -> DataFrame:
     of_batch = F.col("b").bitwiseAND(F.lit(~0xFFFF)).alias("first")
     listed = gone.select(of_batch, F.col("b").bitwiseAND(0xFFFF).cast("int").alias("i")).groupBy("first").agg(F.collect_list("i").alias("gone"))
     joined = ranges.join(listed, "first", "left").select("key_range", "first", "keys", "gone")
-    return joined.mapInArrow(_parts, "part int, first long, keys binary")
+    return joined.mapInArrow(lean(_parts), "part int, first long, keys binary")
 
 
 def _sets(texts: pa.ChunkedArray, k: int) -> list[np.ndarray]:
@@ -317,6 +317,10 @@ def _tile(k: int, percent: int):
         names = nodes[np.concatenate([left, right])]
         pairs = link_tile([sets[i] for i in left], None if same else [sets[i] for i in right], percent, whole["inner"][0].as_py())
         a, b = [int(names[i]) for i, _ in pairs], [int(names[j]) for _, j in pairs]
+        large = whole.nbytes >= 1 << 20
+        del whole, sets
+        if large:
+            give_back()
         return pa.Table.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     return run
@@ -376,7 +380,7 @@ def jaccard_rows(documents: DataFrame, k: int = 5, percent: int = 80, block: int
     """`jaccard_components` with the digest of the text (`text_digest`) and the row's group (`component`), both long."""
     spark = documents.sparkSession
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", text_digest("text").alias("digest"))
-    signed = settle(docs.mapInArrow(_sign(k, percent / 100), _SIGNED), "shingle-keys")
+    signed = settle(docs.mapInArrow(lean(_sign(k, percent / 100)), _SIGNED), "shingle-keys")
     copies = settle(equal_sets(signed.where("head").select("node", "same")), "shingle-copies")
     packed = keys_by_part(signed.where("key_range is not null").select("key_range", "first", "keys"), copies)
     # Of a key that several sets of a batch have, one entry left it; where that one's node is gone, its equal set has the key.

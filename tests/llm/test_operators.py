@@ -670,6 +670,21 @@ def test_ties_of_a_node_grow_with_the_tasks_of_the_shuffle_alone(spark):
     assert len(ties) <= 8 * 29 and {(r.a, r.b) for r in ties} == {(0, (chunk << 16) + i) for chunk in range(10) for i in range(3)} - {(0, 0)}
 
 
+def test_workers_give_memory_back(spark, monkeypatch):
+    """After every batch a task has read and at its end; a benchmark of one block is judged by the worker that scans."""
+    from casebook.llm import common
+
+    calls = []
+    monkeypatch.setattr(common, "give_back", lambda: calls.append(len(calls)))
+    assert list(common.lean(lambda batches: (b + 1 for b in batches))(iter([1, 2, 3]))) == [2, 3, 4]
+    assert len(calls) == 4
+    items = spark.createDataFrame([(1, "one two three")], "item_id long, text string")
+    judged = fm_index.contamination(table(spark, [(1, "One two three"), (2, None), (3, "four")]), items)
+    plan = judged._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+    assert {(r.doc_id, r.n_words, r.n_hit, r.contaminated) for r in judged.collect()} == {(1, 3, 3, True), (2, 0, 0, False), (3, 1, 0, False)}
+
+
 def test_copies_are_not_tied_in_every_range_of_keys(spark, monkeypatch):
     """Copies in all partitions are linked as equal sets; what lies near a copy is found through the set that stands for it."""
     from casebook.llm import ngram_jaccard
