@@ -6,12 +6,13 @@ import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casebook.sources.durable import settle
+from casebook.sources.durable import scratch, settle
 
 #: Bytes hashed at a time; a longer text is cut between two words.
 PIECE = 1 << 20
@@ -62,6 +63,29 @@ def lean(run: Callable) -> Callable:
     return whole
 
 
+def sieve(hashes: DataFrame, per_key: int = 64, most: int = 1 << 27) -> Callable[[Column], Column]:
+    """Tells of a 64-bit hash whether it may be one of `hashes` (a column of longs): of one that is it always says so.
+
+    Each hash sets one of `per_key` bits for every hash there is, of at most `most` (16 MB) in all, which the driver
+    sends to the tasks. So rows that a large table has to look up among few keys need not move unless they may be found.
+    """
+    (column,) = hashes.columns
+    bits = min(most, 1 << max(10, (per_key * hashes.count()).bit_length()))
+    at = hashes.select(F.col(column).bitwiseAND(bits - 1).alias("at"))
+    words = at.groupBy(F.expr("shiftright(at, 6)").alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(at & 63 as int)))").alias("set"))
+    found = words.toArrow()
+    whole = np.zeros(bits >> 6, dtype=np.int64)
+    whole[found["word"].to_numpy()] = found["set"].to_numpy()
+    sent = hashes.sparkSession.sparkContext.broadcast(whole)
+
+    @F.pandas_udf("boolean")
+    def listed(values: pd.Series) -> pd.Series:
+        own = values.to_numpy(dtype=np.int64) & (bits - 1)
+        return pd.Series((sent.value[own >> 6] >> (own & 63)) & 1 == 1)
+
+    return listed
+
+
 def fold_of(key: str, folds: int) -> Column:
     """crc32 of a key as text, modulo `folds`; a null key counts as the empty text."""
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit(""))) % folds
@@ -131,20 +155,22 @@ def components(edges: DataFrame, name: str) -> DataFrame:
     Large-star and small-star steps by turns; every round is written to the shared folder. A hub's edges meet in joins
     that can be split, the smallest neighbour is found by an aggregation that combines before its shuffle.
     """
-    links = settle(
-        edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct(), name
-    )
-    before = None
-    while True:
-        both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("low"))
-        far = links.join(least, "a").select(F.col("low").alias("a"), "b").where("a < b").distinct()
-        up = far.groupBy("b").agg(F.min("a").alias("low"))
-        near = far.join(up, "b").select(F.col("low").alias("a"), F.explode(F.array("a", "b")).alias("b"))
-        links = settle(near.where("a < b").distinct(), name)
-        now = links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == before:
-            break
-        before = now
+    with scratch(edges.sparkSession):  # every round but the last is removed
+        links = settle(
+            edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct(), name
+        )
+        before = None
+        while True:
+            both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+            least = both.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("low"))
+            far = links.join(least, "a").select(F.col("low").alias("a"), "b").where("a < b").distinct()
+            up = far.groupBy("b").agg(F.min("a").alias("low"))
+            near = far.join(up, "b").select(F.col("low").alias("a"), F.explode(F.array("a", "b")).alias("b"))
+            links = settle(near.where("a < b").distinct(), name)
+            now = links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+            if now == before:
+                break
+            before = now
+        links = settle(links, name, lasting=True)
     heads = links.select(F.col("a").alias("node")).distinct().select("node", F.col("node").alias("component"))
     return links.select(F.col("b").alias("node"), F.col("a").alias("component")).union(heads)

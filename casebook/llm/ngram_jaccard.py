@@ -23,6 +23,7 @@ columns are ignored.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 from collections.abc import Iterator
 
@@ -32,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from casebook.llm.common import components, give_back, lean, mix, settle, slices, word_hashes
+from casebook.llm.common import components, give_back, lean, mix, scratch, settle, slices, word_hashes
 
 _STEP = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], dtype=np.uint64)
 _PARTS = 4096  # ranges of key hashes, by their twelve highest bits
@@ -380,22 +381,44 @@ def jaccard_rows(documents: DataFrame, k: int = 5, percent: int = 80, block: int
     """`jaccard_components` with the digest of the text (`text_digest`) and the row's group (`component`), both long."""
     spark = documents.sparkSession
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", text_digest("text").alias("digest"))
-    signed = settle(docs.mapInArrow(lean(_sign(k, percent / 100)), _SIGNED), "shingle-keys")
-    copies = settle(equal_sets(signed.where("head").select("node", "same")), "shingle-copies")
-    packed = keys_by_part(signed.where("key_range is not null").select("key_range", "first", "keys"), copies)
-    # Of a key that several sets of a batch have, one entry left it; where that one's node is gone, its equal set has the key.
-    ties = signed.where("a is not null").select("a", "b").union(copies).union(shared_keys(packed, part_bytes))
-    groups = settle(components(ties, "shingle-ties"), "shingle-groups")
-    heads = signed.where("head").select("node", "n_shingles", "doc_id", "digest")  # one row of each node
-    heads = heads.join(copies.select(F.col("b").alias("node")), "node", "left_anti")
-    wanted = dealt_members(groups, heads, percent / 100, block)
-    texts = docs.join(wanted, ["doc_id", "digest"]).select("node", "tile.*", "text")
-    # texts travel, not sets: they are less than half as large, and a tile shingles its own
-    tiles = texts.select("component", "node", "text", F.explode(F.expr(_TILES)).alias("at"))
-    dealt = tiles.select("component", "at.low_band", "at.low", "at.high_band", "at.high", "at.upper", "at.inner", "node", "text")
-    links = dealt.groupBy("component", "low_band", "low", "high_band", "high").applyInArrow(_tile(k, percent), "a long, b long")
-    named = settle(components(links.union(copies), "shingle-links"), "shingle-components")
-    return name_components(signed.where("n_shingles is not null").select("node", "doc_id", "digest", "n_shingles"), named)
+    with scratch(spark):
+        with scratch(spark):  # the keys, about as large as the texts, are needed for the ties alone
+            signed = settle(docs.mapInArrow(lean(_sign(k, percent / 100)), _SIGNED), "shingle-keys")
+            rows = signed.where("n_shingles is not null").select("node", "doc_id", "digest", "n_shingles", "head")
+            nodes = settle(rows, "shingle-nodes", lasting=True)
+            copies = settle(equal_sets(signed.where("head").select("node", "same")), "shingle-copies", lasting=True)
+            packed = keys_by_part(signed.where("key_range is not null").select("key_range", "first", "keys"), copies)
+            # Of a key that several sets of a batch have, one entry left it; where that one's node is gone, its equal set has the key.
+            ties = signed.where("a is not null").select("a", "b").union(copies).union(shared_keys(packed, part_bytes))
+            groups = settle(components(ties, "shingle-ties"), "shingle-groups", lasting=True)
+        heads = nodes.where("head").select("node", "n_shingles", "doc_id", "digest")  # one row of each node
+        heads = heads.join(copies.select(F.col("b").alias("node")), "node", "left_anti")
+        links = tile_links(docs, dealt_members(groups, heads, percent / 100, block), k, percent)
+        named = settle(components(links.union(copies), "shingle-links"), "shingle-components")
+        return name_components(nodes.select("node", "doc_id", "digest", "n_shingles"), named)
+
+
+def tile_links(docs: DataFrame, wanted: DataFrame, k: int, percent: int, held: int = 2, least: int = 256 << 20) -> DataFrame:
+    """Links (a, b) found in the tiles of the sets `wanted` (node, tile, doc_id, digest).
+
+    Texts travel, not sets: they are less than half as large, and a tile shingles its own. A text goes to as many tiles as its
+    group has blocks beside it; so the tiles are worked off in rounds, each of which deals out at most about `held` times the
+    texts of all groups (or `least` bytes), however many blocks a group has.
+    """
+    with scratch(docs.sparkSession):
+        texts = docs.join(wanted, ["doc_id", "digest"]).select("node", "tile.*", "text")
+        texts = settle(texts.withColumns({"n_bytes": F.octet_length("text"), "n_tiles": F.size(F.expr(_TILES))}), "shingle-texts")
+        whole, dealt = texts.agg(F.sum("n_bytes"), F.sum(F.col("n_bytes").cast("long") * F.col("n_tiles"))).first()
+        rounds = max(1, -(-(dealt or 0) // max(least, held * (whole or 0))))
+        tiles = texts.select("component", "node", "text", F.explode(F.expr(_TILES)).alias("at"))
+        sides = ["component", "low_band", "low", "high_band", "high"]
+        given = tiles.select("component", "at.low_band", "at.low", "at.high_band", "at.high", "at.upper", "at.inner", "node", "text")
+        found = []
+        for turn in range(rounds):
+            own = given if rounds == 1 else given.where(F.pmod(F.xxhash64(*sides), F.lit(rounds)) == turn)
+            pairs = own.groupBy(*sides).applyInArrow(_tile(k, percent), "a long, b long")
+            found.append(settle(pairs, "shingle-pairs", lasting=True))
+        return functools.reduce(DataFrame.union, found)
 
 
 def text_digest(text: str) -> Column:
@@ -407,7 +430,7 @@ def name_components(of: DataFrame, named: DataFrame) -> DataFrame:
     """Rows of `of` (node, doc_id, digest, n_shingles) with their component and its smallest doc_id."""
     placed = settle(
         of.join(named, "node", "left").select("doc_id", "digest", "n_shingles", F.coalesce("component", "node").alias("component")),
-        "shingle-placed",
-    )
-    least = settle(placed.groupBy("component").agg(F.min("doc_id").alias("component_id")), "shingle-names")
+        "shingle-placed", lasting=True,
+    )
+    least = settle(placed.groupBy("component").agg(F.min("doc_id").alias("component_id")), "shingle-names", lasting=True)
     return placed.join(least, "component", "left").select("doc_id", "n_shingles", "component_id", "digest", "component")

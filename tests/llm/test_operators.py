@@ -777,3 +777,53 @@ def test_a_tile_of_long_texts_is_dealt_by_its_shingles(spark):
     assert {r.tile.own for r in dealt_members(groups, sizes, 0.8, 8000).collect()} == {3}
     small = spark.createDataFrame([(n, 1_000_000) for n in (1, 2, 3)], "node long, n_shingles long")
     assert {r.tile.own for r in dealt_members(groups, small, 0.8, 8000).collect()} == {1}
+
+
+def test_a_sieve_passes_every_listed_hash_and_few_others(spark):
+    from casebook.llm.common import sieve
+
+    rows = spark.range(20_000).select("id", F.xxhash64("id").alias("h"))
+    listed = rows.where("id % 10 = 0").select("h")
+    passed = {r.id for r in rows.where(sieve(listed)(F.col("h"))).collect()}
+    assert passed >= set(range(0, 20_000, 10)) and len(passed) < 3_500
+    assert rows.where(sieve(listed.limit(0))(F.col("h"))).count() == 0
+
+
+def test_tiles_in_several_rounds_give_the_same_links(spark, monkeypatch):
+    from casebook.llm import ngram_jaccard as nj
+
+    words = [f"w{i}" for i in range(400)]
+    rng = np.random.default_rng(5)
+    rows = []
+    for g in range(12):
+        base = list(rng.choice(words, 60))
+        for i in range(6):
+            own = list(base)
+            own[i] = f"x{i}"
+            rows.append((g * 10 + i, " ".join(own)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    whole = sorted(map(tuple, nj.jaccard_components(docs, block=4).collect()))
+    names, whole_links = [], nj.tile_links
+    monkeypatch.setattr(nj, "settle", lambda df, name, lasting=False, old=nj.settle: names.append(name) or old(df, name, lasting))
+    monkeypatch.setattr(nj, "tile_links", lambda *a: whole_links(*a, held=0, least=20_000))
+    assert sorted(map(tuple, nj.jaccard_components(docs, block=4).collect())) == whole
+    assert names.count("shingle-pairs") > 1
+
+
+def test_near_copies_move_few_texts(spark):
+    """Texts that are no copies are not shuffled to be kept."""
+    import corpus_pipeline
+
+    rng = np.random.default_rng(6)
+    rows = [(i, " ".join(map(str, rng.integers(0, 10**6, 30)))) for i in range(300)]
+    rows += [(1000 + i, rows[i][1]) for i in range(3)] + [(None, rows[0][1]), (5, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = corpus_pipeline.drop_near_copies(spark, docs, "")
+        assert sorted(map(str, kept.collect())) == sorted(map(str, docs.where("doc_id is null or doc_id < 1000").collect()))
+        plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("listed(") >= 3  # what is not listed goes past the joins
