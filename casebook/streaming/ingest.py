@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from casebook.functions.text import safe_date
 from casebook.operators.upsert import Rule, upsert
 from casebook.schemas import PROJECTS, RECORD_PAGES
-from casebook.sources.durable import settle
+from casebook.sources.durable import remove, scratch, settle, tidy
 from casebook.sources.landed import first_seen, raw_projects
 
 #: A stored version: projects, the pull they were last read by, and their place in it (status order, page, position).
@@ -59,25 +59,26 @@ def start_ingest(
         session = pages.sparkSession
         base = max((n for n in finished_versions(session, versions) if n < batch_id), default=None)
         target = session.createDataFrame([], VERSION) if base is None else _version(session, versions, base)
-        first = settle(first_seen(raw_projects(pages, statuses)), "landed-records")
-        place = F.struct(*[F.col(c).cast("long").alias(c) for c in ("status_ord", "page", "pos")])
-        places = first.select(F.col("id").cast("string").alias("scoro_id"), place.alias("pull_order"))
-        batch = settle(normalize(first).join(places, "scoro_id").withColumn("pull_id", F.lit(pull_id)), "landed-projects")
-        stored = target.filter(F.col("pull_id") == pull_id).select("project_id", F.col("pull_order").alias("before"))
-        newer = settle(
-            batch.join(stored, "project_id", "left")
-            .filter(F.col("before").isNull() | (F.col("pull_order") < F.col("before")))
-            .drop("before"),
-            "projects-to-store",
-        )
-        now = F.lit(as_of).cast("timestamp")
-        dated = newer.withColumns({c: safe_date(F.col(c).cast("string")) for c in ("start_date", "due_date")})
-        # Written once because the upsert reads it three times, so that the large table need not shuffle.
-        merged = upsert(target, dated, ["project_id"], VERSION, {"imported_at": Rule(now, now)}, small_source)
-        merged.write.mode("overwrite").parquet(f"{versions}/batch={batch_id}")
+        with scratch(session), tidy(session):
+            first = settle(first_seen(raw_projects(pages, statuses)), "landed-records")
+            place = F.struct(*[F.col(c).cast("long").alias(c) for c in ("status_ord", "page", "pos")])
+            places = first.select(F.col("id").cast("string").alias("scoro_id"), place.alias("pull_order"))
+            batch = settle(normalize(first).join(places, "scoro_id").withColumn("pull_id", F.lit(pull_id)), "landed-projects")
+            stored = target.filter(F.col("pull_id") == pull_id).select("project_id", F.col("pull_order").alias("before"))
+            newer = settle(
+                batch.join(stored, "project_id", "left")
+                .filter(F.col("before").isNull() | (F.col("pull_order") < F.col("before")))
+                .drop("before"),
+                "projects-to-store",
+            )
+            now = F.lit(as_of).cast("timestamp")
+            dated = newer.withColumns({c: safe_date(F.col(c).cast("string")) for c in ("start_date", "due_date")})
+            # Written once because the upsert reads it three times, so that the large table need not shuffle.
+            merged = upsert(target, dated, ["project_id"], VERSION, {"imported_at": Rule(now, now)}, small_source)
+            merged.write.mode("overwrite").parquet(f"{versions}/batch={batch_id}")
         for old in finished_versions(session, versions):
             if base is not None and old < base:
-                _remove(session, f"{versions}/batch={old}")
+                remove(session, f"{versions}/batch={old}")
 
     return (
         reader.json(landing)
@@ -104,11 +105,6 @@ def finished_versions(spark: SparkSession, versions: str) -> list[int]:
     return sorted(n for n in numbers if fs.exists(_folder(spark, f"{versions}/batch={n}/_SUCCESS")[1]))
 
 
-def _remove(spark: SparkSession, path: str) -> None:
-    fs, place = _folder(spark, path)
-    fs.delete(place, True)
-
-
 def _version(spark: SparkSession, versions: str, number: int) -> DataFrame:
     return spark.read.schema(VERSION).parquet(f"{versions}/batch={number}")
 

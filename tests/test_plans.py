@@ -1,5 +1,6 @@
 """Shape of the physical plans, and whole-run invariants."""
 
+import os
 import re
 from datetime import datetime
 
@@ -243,3 +244,19 @@ def test_results_join_the_hits_once(spark):
 @pytest.mark.parametrize("name, parses", [("search_results_parse", 1), ("raw_projects_scan", 1), ("scan_errors", 2)])
 def test_every_input_is_parsed_once(spark, sf_dir, name, parses):
     assert plan(registry.queries()[name](spark, sf_dir)).count("from_json(") == parses
+
+
+def test_a_run_keeps_only_its_tables(spark, sf_dir, monkeypatch):
+    from casebook.plans import full_sync as runs
+    from casebook.sources import durable
+    from checks import wiki_checks
+
+    made = []
+    monkeypatch.setattr(durable, "new_place", lambda s, name, new=durable.new_place: made.append(new(s, name)) or made[-1])
+    settings = runs.RunSettings("run_1", wiki_checks.AS_OF, wiki=wiki_checks.SETTINGS)
+    rows, search = wiki_checks._project_rows(spark, sf_dir), wiki_checks.landed_search(spark, sf_dir)
+    made.clear()
+    tables = runs.full_sync(spark, runs.empty_tables(spark), rows, search, settings)
+    left = sorted(os.path.basename(p).rpartition("-")[0] for p in made if os.path.exists(p))
+    assert left == ["candidates", "chunks", "documents", "mappings", "pages", "projects"]
+    assert all(table.count() for name, table in tables.items() if name != "errors")
